@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from .bpe_codec import op3_bpe_codec
+from .fingerprints import op5_fingerprints
+from .minhash import op4_minhash_near_dedup
 from .packing import op10_packing
+from .quality import op7_quality_classifier
 from .token_counts import op9_token_counts
 
-QUERIES: dict[str, Callable] = {f.__name__: f for f in (op3_bpe_codec, op9_token_counts, op10_packing)}
+QUERIES: dict[str, Callable] = {f.__name__: f for f in (op3_bpe_codec, op4_minhash_near_dedup, op5_fingerprints, op7_quality_classifier, op9_token_counts, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
