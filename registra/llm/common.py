@@ -82,3 +82,32 @@ def _mark(edges: DataFrame) -> tuple:
     h = F.xxhash64("u", "v")
     row = edges.agg(F.count("*"), F.bit_xor(h), F.bit_xor(F.xxhash64(h, F.lit(1)))).first()
     return tuple(row)
+
+
+def components_by_bands(items: DataFrame, confirm, may) -> DataFrame:
+    """(id, component) of items that are linked to another one; see connected_components().
+
+    ``items`` has ``id``, ``bands`` (array of keys; links are sought between items that share one) and whatever
+    ``may(x, y)`` needs to tell, as a condition on two aliased rows, that a link is not excluded. ``confirm(pairs)``
+    gives those pairs (a, b) that are links. In each bucket every item is first compared with the smallest id only,
+    and confirmed links join components. Pairs that share a bucket but lie in different components follow; pairs
+    within one component need no comparison, so a group of n similar items costs about n comparisons, not n * n.
+    """
+    items = items.withColumn("band", F.explode("bands")).drop("bands")
+    banded = items.select("id", "band")
+    least = banded.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("band", "a")
+    first = banded.join(least, "band").where("id != a").select("a", F.col("id").alias("b")).distinct()
+    first = materialize(first, "pairs")
+    links = materialize(confirm(first).select("a", "b"), "links")
+
+    labels = connected_components(links)
+    labelled = items.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    unsettled = materialize(labelled.join(split.where("low < high").select("band"), "band"), "unsettled")
+    apart = F.expr("x.band = y.band AND x.id < y.id AND x.component != y.component")
+    second = unsettled.alias("x").join(unsettled.alias("y"), apart & may("x", "y"))
+    second = second.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    if second.isEmpty():
+        return labels
+    return connected_components(links.unionByName(confirm(second).select("a", "b")))

@@ -82,9 +82,8 @@ def likely(a: Column, b: Column, threshold: float) -> Column:
 
 
 def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough."""
-    sizes = reps.select("doc_id", "n_shingles", "signature")
-    of = lambda side: sizes.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}"))
+    """Those of the pairs (a, b) whose packed signatures leave it open and whose full sets are similar enough."""
+    of = lambda side: reps.select(F.col("id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}"))
     close = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     pairs = pairs.join(of("b"), "b").join(of("a"), "a").where(close & likely(F.col("s_a"), F.col("s_b"), percent / 100))
     pairs = common.materialize(pairs.select("a", "b"), "candidates")
@@ -106,46 +105,33 @@ def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, per
                 keep.append(100 * shared >= percent * (len(of_last) + len(other) - shared))
             yield batch.loc[keep, ["a", "b"]]
 
-    return common.materialize(both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long").distinct(), "links")
+    return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each document.
 
     Documents are linked if 100 * intersection >= percent * union of their sets of word shingles. Equal sets meet
-    by their key first, so a group of copies is one representative (its smallest doc_id) from then on. In each
-    bucket of a band, every document is compared with the bucket's smallest only; links join components. What then
-    shares a bucket and still lies in different components is compared pair by pair, so no component is split:
-    of documents that a path of links joins, pairs inside a component need no comparison. Band recall for one pair
-    at similarity 0.8 is 0.99994, and more above.
+    by their key first, so a group of copies is one representative (its smallest doc_id) from then on; bands of
+    minima then find components as components_by_bands() says. The bands find a pair at similarity 0.8 with
+    probability 0.99994, and more similar ones more surely.
 
     Documents without words (null, empty or blank texts) have n_shingles 0 and are components of their own. Rows
-    that share a doc_id count as one document in components and are returned once each; other columns are ignored.
+    that share a doc_id count as one document in components and are returned once each; other columns are ignored;
+    an empty table gives an empty result.
     """
     table = common.materialize(features(docs, width), "features")
     reps = table.where("n_shingles > 0").groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "signature")).alias("r"))
-    reps = common.materialize(reps.select("key", "r.*"), "representatives")
-    banded = reps.select("doc_id", F.explode("bands").alias("band"))
-    least = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("band", "a")
-    first = common.materialize(banded.join(least, "band").where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
-    links = _confirm(first, reps, docs, width, percent)
-
-    labels = common.connected_components(links)
-    labelled = banded.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    split = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
-    open_ = labelled.join(split, "band").join(reps.select("doc_id", "n_shingles", "signature"), "doc_id")
-    open_ = common.materialize(open_, "open")
-    one, two = open_.alias("x"), open_.alias("y")
-    may = (F.col("x.band") == F.col("y.band")) & F.expr("x.doc_id < y.doc_id AND x.component != y.component")
-    may = may & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-    second = one.join(two, may & likely(F.col("x.signature"), F.col("y.signature"), percent / 100))
-    second = second.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    second = common.materialize(second, "pairs")
-    more = _confirm(second, reps, docs, width, percent)
-
-    labels = common.connected_components(links.unionByName(more)) if not more.isEmpty() else labels
-    known = reps.select("key", "doc_id").join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    known = known.select("key", F.coalesce("component", "doc_id").alias("component_id"))
+    reps = common.materialize(reps.select("key", F.col("r.doc_id").alias("id"), "r.n_shingles", "r.bands", "r.signature"), "representatives")
+
+    def may(x, y):
+        sizes = f"{x}.n_shingles", f"{y}.n_shingles"
+        close = 100 * F.least(*sizes) >= percent * F.greatest(*sizes)
+        return close & likely(F.col(f"{x}.signature"), F.col(f"{y}.signature"), percent / 100)
+
+    items = reps.select("id", "n_shingles", "signature", "bands")
+    labels = common.components_by_bands(items, lambda pairs: _confirm(pairs, reps, docs, width, percent), may)
+    known = reps.select("key", "id").join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     out = table.select("doc_id", "n_shingles", "key").join(known, "key", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
