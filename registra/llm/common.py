@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -34,6 +35,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files of plans that are done, at once and not when the driver's heap fills."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Remove a table made by materialize() that no later plan reads."""
     spark = df.sparkSession
@@ -93,17 +100,17 @@ def components_by_bands(items: DataFrame, confirm, may) -> DataFrame:
     and confirmed links join components. Pairs that share a bucket but lie in different components follow; pairs
     within one component need no comparison, so a group of n similar items costs about n comparisons, not n * n.
     """
-    items = items.withColumn("band", F.explode("bands")).drop("bands")
-    banded = items.select("id", "band")
+    banded = items.select("id", F.explode("bands").alias("band"))
     least = banded.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("band", "a")
-    first = banded.join(least, "band").where("id != a").select("a", F.col("id").alias("b")).distinct()
-    first = materialize(first, "pairs")
+    shared = materialize(banded.join(least, "band"), "shared")
+    first = materialize(shared.where("id != a").select("a", F.col("id").alias("b")).distinct(), "pairs")
     links = materialize(confirm(first).select("a", "b"), "links")
 
     labels = connected_components(links)
-    labelled = items.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = shared.select("id", "band").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    unsettled = materialize(labelled.join(split.where("low < high").select("band"), "band"), "unsettled")
+    unsettled = labelled.join(split.where("low < high").select("band"), "band").join(items.drop("bands"), "id")
+    unsettled = materialize(unsettled, "unsettled")
     apart = F.expr("x.band = y.band AND x.id < y.id AND x.component != y.component")
     second = unsettled.alias("x").join(unsettled.alias("y"), apart & may("x", "y"))
     second = second.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
