@@ -11,7 +11,8 @@ from .lines import op1_line_dedup
 from .minhash import op4_minhash_near_dedup
 from .packing import op10_packing
 from .quality import op7_quality_classifier
+from .substrings import op8_substring_dedup
 from .token_counts import op9_token_counts
 
-QUERIES: dict[str, Callable] = {f.__name__: f for f in (op1_line_dedup, op3_bpe_codec, op4_minhash_near_dedup, op5_fingerprints, op6_embedding_near_dedup, op7_quality_classifier, op9_token_counts, op10_packing)}
+QUERIES: dict[str, Callable] = {f.__name__: f for f in (op1_line_dedup, op3_bpe_codec, op4_minhash_near_dedup, op5_fingerprints, op6_embedding_near_dedup, op7_quality_classifier, op8_substring_dedup, op9_token_counts, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
