@@ -7,6 +7,7 @@ from collections.abc import Callable
 from .bpe_codec import op3_bpe_codec
 from .embeddings import op6_embedding_near_dedup
 from .fingerprints import op5_fingerprints
+from .language_model import op2_lm_scoring
 from .lines import op1_line_dedup
 from .minhash import op4_minhash_near_dedup
 from .packing import op10_packing
@@ -14,5 +15,5 @@ from .quality import op7_quality_classifier
 from .substrings import op8_substring_dedup
 from .token_counts import op9_token_counts
 
-QUERIES: dict[str, Callable] = {f.__name__: f for f in (op1_line_dedup, op3_bpe_codec, op4_minhash_near_dedup, op5_fingerprints, op6_embedding_near_dedup, op7_quality_classifier, op8_substring_dedup, op9_token_counts, op10_packing)}
+QUERIES: dict[str, Callable] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_bpe_codec, op4_minhash_near_dedup, op5_fingerprints, op6_embedding_near_dedup, op7_quality_classifier, op8_substring_dedup, op9_token_counts, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
