@@ -1,0 +1,6 @@
+"""Concordances by their short names."""
+
+from .label import harmonize_municipality as municipality
+from .label import harmonize_nace as nace
+
+__all__ = ["municipality", "nace"]

@@ -1,8 +1,5 @@
 """Registered queries over the driver's tables, and the SQL that tells their results."""
 
-from __future__ import annotations
+from .plans.registry import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-QUERIES: dict[str, Callable] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
