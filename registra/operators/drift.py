@@ -76,16 +76,12 @@ def _beta_share(x: float, a: float, b: float) -> float:
     if x > (a + 1) / (a + b + 2):
         return 1 - _beta_share(1 - x, b, a)
     front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
-    tiny, c, d, out = 1e-300, 1.0, 0.0, 1.0
-    for i in range(400):
-        m = i // 2
-        step = 1.0 if i == 0 else (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)) if i % 2 == 0 else -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)))
-        d = 1 / (1 + step * d or tiny)
-        c = 1 + step / c or tiny
-        out *= c * d
-        if abs(c * d - 1) < 1e-13:
-            break
-    return front * out
+    fraction = 1.0
+    for j in range(300, 0, -1):
+        m = j // 2
+        step = m * (b - m) / ((a + 2 * m - 1) * (a + 2 * m)) if j % 2 == 0 else -(a + m) * (a + b + m) / ((a + 2 * m) * (a + 2 * m + 1))
+        fraction = 1 + step * x / fraction
+    return front / fraction
 
 
 def with_interval(rows: DataFrame, level: float = 0.95) -> DataFrame:

@@ -96,7 +96,7 @@ class Store:
     # state: version folders and a pointer that is renamed into place
 
     def _pointer(self, kind: str) -> dict:
-        path = f"{self.root}/state/{kind}/_CURRENT"
+        path = f"{self.root}/state/{kind}/CURRENT"
         if not self._exists(path):
             return {"version": None, "batch_id": -1, "cursor": 0}
         return json.loads("\n".join(r.value for r in self.spark.read.text(path).collect()))
@@ -118,11 +118,11 @@ class Store:
         base = f"{self.root}/state/{kind}"
         df.write.mode("overwrite").parquet(f"{base}/{version}")
         text = json.dumps({"version": version, "batch_id": batch_id, "cursor": cursor})
-        fs, temporary = self._fs(f"{base}/_CURRENT.{uuid.uuid4().hex[:8]}")
+        fs, temporary = self._fs(f"{base}/CURRENT.{uuid.uuid4().hex[:8]}")
         out = fs.create(temporary, True)
         out.write(bytearray(text.encode()))
         out.close()
-        _, final = self._fs(f"{base}/_CURRENT")
+        _, final = self._fs(f"{base}/CURRENT")
         if fs.exists(final):
             fs.delete(final, False)
         fs.rename(temporary, final)
