@@ -100,7 +100,8 @@ def frequent_units(texts: DataFrame, path: str, most: int = 32_768, of_a_task: i
                     c.update(dict(kept))
         rows = [(bool(k), u, n) for k in (0, 1) for u, n in counts[k].items() if u and len(u) <= 64]
         rows.sort(key=lambda r: -r[2])
-        yield pd.DataFrame(rows[:of_a_task], columns=["spaced", "unit", "n"])
+        if rows:
+            yield pd.DataFrame(rows[:of_a_task], columns=["spaced", "unit", "n"])
 
     summed = texts.select("text").mapInPandas(heavy, "spaced boolean, unit string, n long").groupBy("spaced", "unit").agg(F.sum("n").alias("n"))
     rows = summed.orderBy(F.desc("n"), "spaced", "unit").limit(most).collect()
