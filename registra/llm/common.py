@@ -91,30 +91,42 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def components_by_bands(items: DataFrame, confirm, may) -> DataFrame:
+def components_by_bands(items: DataFrame, confirm, may=None, reach: float = 1.0, settle=None, detail=None) -> DataFrame:
     """(id, component) of items that are linked to another one; see connected_components().
 
     ``items`` has ``id``, ``bands`` (array of keys; links are sought between items that share one) and whatever
-    ``may(x, y)`` needs to tell, as a condition on two aliased rows, that a link is not excluded. ``confirm(pairs)``
-    gives those pairs (a, b) that are links. In each bucket every item is first compared with the smallest id only,
-    and confirmed links join components. Pairs that share a bucket but lie in different components follow; pairs
-    within one component need no comparison, so a group of n similar items costs about n comparisons, not n * n.
+    ``may(x, y)`` needs to tell, as a condition on two aliased rows, that a link is not excluded; ``detail(ids)``, if
+    given, makes that instead, for the few items that get so far. ``confirm(pairs)``
+    tells of pairs (a, b), as ``link``, whether they are linked, and as ``d`` how far apart they are (a metric in
+    which links are within ``reach``, or NULL); pairs that it leaves out are not linked.
+
+    In each bucket every item is first compared with the smallest id only, and confirmed links join components.
+    Pairs that share a bucket but lie in different components follow; pairs within one component need no comparison,
+    nor do pairs whose distances to the bucket's smallest id differ by more than a link's reach. So a group of n
+    similar items costs about n comparisons, not n * n.
     """
     banded = items.select("id", F.explode("bands").alias("band"))
     least = banded.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("band", "a")
     shared = materialize(banded.join(least, "band"), "shared")
     first = materialize(shared.where("id != a").select("a", F.col("id").alias("b")).distinct(), "pairs")
-    links = materialize(confirm(first).select("a", "b"), "links")
+    tested = materialize(confirm(first).select("a", "b", "link", "d"), "tested")
+    links = tested.where("link").select("a", "b")
 
     labels = connected_components(links)
-    labelled = shared.select("id", "band").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = shared.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    unsettled = labelled.join(split.where("low < high").select("band"), "band").join(items.drop("bands"), "id")
-    unsettled = materialize(unsettled, "unsettled")
-    apart = F.expr("x.band = y.band AND x.id < y.id AND x.component != y.component")
+    unsettled = labelled.join(split.where("low < high").select("band"), "band")
+    unsettled = unsettled.join(tested.select("a", F.col("b").alias("id"), "d"), ["a", "id"], "left")
+    unsettled = unsettled.withColumn("d", F.when(F.col("id") == F.col("a"), 0.0).otherwise(F.col("d")))
+    if settle is not None:
+        more = materialize(settle(unsettled.select("a", "id", "component", "d").distinct()), "links")
+        return labels if more.isEmpty() else connected_components(links.unionByName(more))
+    more = items.drop("bands") if detail is None else detail(unsettled.select("id").distinct())
+    unsettled = materialize(unsettled.join(more, "id"), "unsettled")
+    apart = F.expr(f"x.band = y.band AND x.id < y.id AND x.component != y.component AND coalesce(abs(x.d - y.d) <= {reach} + 1e-9, true)")
     second = unsettled.alias("x").join(unsettled.alias("y"), apart & may("x", "y"))
     second = second.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
     if second.isEmpty():
         return labels
-    return connected_components(links.unionByName(confirm(second).select("a", "b")))
+    return connected_components(links.unionByName(confirm(second).where("link").select("a", "b")))

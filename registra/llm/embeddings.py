@@ -90,13 +90,13 @@ def _confirm(pairs: DataFrame, codes: DataFrame, vectors: DataFrame, threshold:
         for batch in batches:
             for _, part in batch.groupby(batch["v"].map(len)):
                 keep = (_unit(part["v"].to_numpy()) * _unit(part["w"].to_numpy())).sum(axis=1) >= threshold
-                yield part.loc[keep, ["a", "b"]]
+                yield part.loc[keep, ["a", "b"]].assign(link=True, d=None)
 
     one = pairs.join(codes.select(F.col("id").alias("b"), "dim", "code", "factors"), "b")
     one = one.join(vectors.select(F.col("id").alias("a"), "v"), "a").where(F.size("v") == F.col("dim"))
     open_ = common.materialize(one.select("a", "b", "v", "code", "factors").mapInPandas(screen, "a long, b long"), "candidates")
     both = open_.join(vectors.select(F.col("id").alias("b"), F.col("v").alias("w")), "b").join(vectors.select(F.col("id").alias("a"), "v"), "a")
-    return both.select("a", "b", "v", "w").mapInPandas(exact, "a long, b long")
+    return both.select("a", "b", "v", "w").mapInPandas(exact, "a long, b long, link boolean, d double")
 
 
 def _close_codes(x: str, y: str, threshold: float):

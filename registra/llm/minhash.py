@@ -68,7 +68,7 @@ def features(docs: DataFrame, width: int) -> DataFrame:
 def likely(a: Column, b: Column, threshold: float) -> Column:
     """Whether the share of equal minima, corrected for low bits that agree by chance, may reach the threshold.
 
-    Five standard deviations are allowed for, so about one link in a few millions is lost here.
+    Four standard deviations are allowed for, so three links in 100,000 at the threshold are lost here at most.
     """
     differ = F.lit(0)
     for i in range(HASHES * BITS // 64):
@@ -77,12 +77,12 @@ def likely(a: Column, b: Column, threshold: float) -> Column:
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
         differ = differ + F.bit_count(x)
     chance = 2.0**-BITS
-    least = threshold - 5 * (threshold * (1 - threshold) / HASHES) ** 0.5
+    least = threshold - 4 * (threshold * (1 - threshold) / HASHES) ** 0.5
     return differ <= F.lit(int(HASHES * (1 - (least * (1 - chance) + chance))))
 
 
 def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose packed signatures leave it open and whose full sets are similar enough."""
+    """(a, b, link, d) of the pairs whose packed signatures leave it open: d is 1 - similarity of the full sets."""
     of = lambda side: reps.select(F.col("id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}"))
     close = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     pairs = pairs.join(of("b"), "b").join(of("a"), "a").where(close & likely(F.col("s_a"), F.col("s_b"), percent / 100))
@@ -96,16 +96,75 @@ def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, per
 
         last, of_last = None, None
         for batch in batches:
-            keep = []
-            for text_a, text_b in zip(batch["text_a"], batch["text_b"]):
+            rows = []
+            for a, b, text_a, text_b in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
                 if of_last is None or text_a != last:
                     last, of_last = text_a, shingle_set(text_a, width)
                 other = shingle_set(text_b, width)
                 shared = len(np.intersect1d(of_last, other, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(of_last) + len(other) - shared))
-            yield batch.loc[keep, ["a", "b"]]
+                union = len(of_last) + len(other) - shared
+                rows.append((a, b, 100 * shared >= percent * union, 1 - shared / max(1, union)))
+            yield pd.DataFrame(rows, columns=["a", "b", "link", "d"])
+
+    return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long, link boolean, d double")
+
+
+def _settle(unsettled: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int, tile: int = 256) -> DataFrame:
+    """Links (a, b) across components among documents that share buckets with one smallest id.
+
+    Documents outside that one's component are compared with all others, in tiles of a bounded number of rows; no
+    pair leaves a task unless it is a link, and one link between a document and a component is enough.
+    """
+    home = F.max(F.when(F.col("id") == F.col("a"), F.col("component")))
+    homes = unsettled.groupBy("a").agg(home.alias("home"), F.count("*").alias("n"))
+    rows = unsettled.join(homes, "a").withColumn("stray", F.col("component") != F.col("home"))
+    strays = rows.where("stray").groupBy("a").agg(F.count("*").alias("n_strays"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(unsettled.select("id").distinct(), "id", "left_semi")
+    texts = common.materialize(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
+    rows = rows.join(strays, "a").join(reps.select("id", "signature"), "id").join(texts, "id")
+    rows = rows.withColumns({"across": F.ceil(F.col("n") / (2 * tile)).cast("int"), "down": F.ceil(F.col("n_strays") / tile).cast("int")})
+    place = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = rows.where("stray").withColumn("i", place("down")).withColumn("j", every("across")).withColumn("side", F.lit(0))
+    right = rows.withColumn("j", place("across")).withColumn("i", every("down")).withColumn("side", F.lit(1))
+    columns = ["a", "i", "j", "side", "id", "component", "stray", "d", "signature", "text"]
+    reach = 1 - percent / 100
+    chance = 2.0**-BITS
+    least = HASHES * ((percent / 100 - 4 * (percent / 100 * reach / HASHES) ** 0.5) * (1 - chance) + chance)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
 
-    return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long").distinct()
+        def minima(part):
+            packed = np.stack(part["signature"].to_numpy()).view(np.uint8)
+            return np.concatenate([packed & 15, packed >> 4], axis=1)
+
+        x, y, found = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].reset_index(drop=True), []
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": []})
+        theirs, sets = minima(y), {}
+        component, ids, dy, stray = (y[c].to_numpy() for c in ("component", "id", "d", "stray"))
+        for k, mine in enumerate(minima(x)):
+            row = x.iloc[k]
+            equal = (theirs == mine).sum(axis=1)
+            # of two strays of one tile, the smaller id compares
+            ask = (equal >= least) & (component != row["component"]) & ~(stray & (ids < row["id"]))
+            ask &= np.isnan(dy.astype(float)) | (abs(dy.astype(float) - row["d"]) <= reach + 1e-9) if row["d"] == row["d"] and row["d"] is not None else True
+            done = set()
+            for at in sorted(np.nonzero(ask)[0], key=lambda t: -equal[t]):
+                if component[at] in done:
+                    continue
+                for key, text in ((row["id"], row["text"]), (ids[at], y["text"][at])):
+                    if key not in sets:
+                        sets[key] = shingle_set(text, width)
+                one, two = sets[row["id"]], sets[ids[at]]
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                if 100 * shared >= percent * (len(one) + len(two) - shared):
+                    done.add(component[at])
+                    found.append((row["id"], ids[at]))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return left.select(*columns).unionByName(right.select(*columns)).groupBy("a", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -124,13 +183,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     reps = table.where("n_shingles > 0").groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "signature")).alias("r"))
     reps = common.materialize(reps.select("key", F.col("r.doc_id").alias("id"), "r.n_shingles", "r.bands", "r.signature"), "representatives")
 
-    def may(x, y):
-        sizes = f"{x}.n_shingles", f"{y}.n_shingles"
-        close = 100 * F.least(*sizes) >= percent * F.greatest(*sizes)
-        return close & likely(F.col(f"{x}.signature"), F.col(f"{y}.signature"), percent / 100)
-
-    items = reps.select("id", "n_shingles", "signature", "bands")
-    labels = common.components_by_bands(items, lambda pairs: _confirm(pairs, reps, docs, width, percent), may)
+    items = reps.select("id", "bands")
+    labels = common.components_by_bands(
+        items, lambda pairs: _confirm(pairs, reps, docs, width, percent), settle=lambda rows: _settle(rows, reps, docs, width, percent)
+    )
     known = reps.select("key", "id").join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     out = table.select("doc_id", "n_shingles", "key").join(known, "key", "left")
     component = F.coalesce("component_id", "doc_id")
