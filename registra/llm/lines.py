@@ -34,17 +34,16 @@ def _shingle(at: str, width: int) -> str:
     return f"xxhash64(substring(wide, 2 * {at} + 1, {2 * width}))"
 
 
-def _signatures(lines: DataFrame, width: int) -> DataFrame:
-    """(id, bands, sketch) for rows (id, line), by the shingles that begin at a piece of the line.
+def _hashed(lines: DataFrame, width: int) -> DataFrame:
+    """(id, h): a 32-bit hash of each shingle, for rows (id, line)."""
+    wide = lines.select("id", F.encode("line", "UTF-16BE").alias("wide"))
+    shingles = wide.select("id", "wide", F.explode(F.expr(f"sequence(0, {_last(width)})")).alias("at"))
+    return shingles.select("id", F.shiftright(F.expr(_shingle("at", width)), 32).cast("int").alias("h"))
 
-    A piece is a run of up to eight Latin letters or digits, with the character after it, or any other character.
-    These shingles, about one in six of a text in words, estimate the similarity of all of them.
-    """
-    run = "[A-Za-z0-9\\u00C0-\\u024F]"
-    pieces = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{width}}}))(?:{run}{{1,8}}+.?|.)"), F.lit(1))
-    hashed = lines.select("id", F.explode(pieces).alias("shingle")).select("id", F.xxhash64("shingle").alias("h"))
-    hashed = hashed.select("id", F.shiftright("h", 32).cast("int").alias("h"))
-    minima = _minima(hashed, HASHES)
+
+def _signatures(lines: DataFrame, width: int) -> DataFrame:
+    """(id, bands, sketch) for rows (id, line), by all shingles of the line."""
+    minima = _minima(_hashed(lines, width), HASHES)
     # masks of one band lie far apart: near ones choose the same shingle of a short line
     bands = [F.xxhash64(F.lit(b), *[f"m{b + BANDS * r}" for r in range(ROWS)]) for b in range(BANDS)]
     return minima.select("id", F.array(*bands).alias("bands"), _low_bits(HASHES)[0].alias("sketch"))
@@ -62,10 +61,7 @@ def _low_bits(n: int) -> list[Column]:
 
 def _sketches(lines: DataFrame, width: int) -> DataFrame:
     """(id, k0, k1, ...): low bits of many minima over all shingles, for rows (id, line)."""
-    wide = lines.select("id", F.encode("line", "UTF-16BE").alias("wide"))
-    shingles = wide.select("id", "wide", F.explode(F.expr(f"sequence(0, {_last(width)})")).alias("at"))
-    hashed = shingles.select("id", F.shiftright(F.expr(_shingle("at", width)), 32).cast("int").alias("h"))
-    return _minima(hashed, FINE).select("id", *[c.alias(f"k{i}") for i, c in enumerate(_low_bits(FINE))])
+    return _minima(_hashed(lines, width), FINE).select("id", *[c.alias(f"k{i}") for i, c in enumerate(_low_bits(FINE))])
 
 
 def _likely(pairs: list[tuple[Column, Column]], n: int, percent: int) -> Column:
