@@ -254,6 +254,19 @@ def test_near_passages():
     assert substrings.align(b[:40], [b"x"] * 5 + a, anchors[:1]) == []
 
 
+def test_near_passages_between_other_words():
+    """Two passages of a form are found though the words between them differ; so are interleaved ones."""
+    a = [b"w%d" % i for i in range(150)]
+    b = a[:30] + [b"x"] + a[31:60] + [b"y%d" % i for i in range(30)] + a[90:120] + [b"z"] + a[121:]
+    anchors = [(i, i) for i in (0, 10, 40, 55, 92, 110, 130, 145)]
+    assert substrings.align(b, a, anchors) == [(0, 60), (90, 150)]
+    c = [b"v%d" % i for i in range(60)]
+    places = [200 * k for k in range(6)]
+    many = sum(([*c, *[b"f%d.%d" % (k, i) for i in range(140)]] for k in range(6)), [])
+    assert set(substrings.align(c, many, [(x, p + x) for x in range(0, 56, 5) for p in places])) == {(0, 60)}
+    assert len(substrings.align(c, many, [(x, p + x) for x in range(0, 56, 5) for p in places])) == 6
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 9), min_size=1, max_size=40), st.integers(2, 8))
 def test_compact_windows(values, least):
