@@ -245,6 +245,25 @@ def test_substrings(docs, none):
     assert substrings.dedup(none).count() == 0
 
 
+def test_later_variants_meet(spark):
+    """A near-copy is found though older documents hold variants that are near to neither, and within one document."""
+    r, rows = random.Random(8), []
+    filler = lambda n: [f"f{r.randrange(10**9)}" for _ in range(n)]
+    for case in range(12):
+        form = [f"c{case}w{i}" for i in range(60)]
+
+        def variant(places):
+            return " ".join([*filler(30), *[f"v{r.randrange(10**9)}" if i in places else w for i, w in enumerate(form)], *filler(30)])  # noqa: B023
+
+        texts = [variant(range(k, 60, 10)) for k in range(10)] + [variant([30]), variant([])]
+        rows += [(100 * case + i, t) for i, t in enumerate(texts)]
+        rows.append((100 * case + 50, " ".join([" ".join(filler(40)), variant([]).replace("c", "d"), variant([20]).replace("c", "d")])))
+    found = {x.doc_id: x.spans for x in substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i % 100 for i in found} == {11, 50}
+    assert sum(i % 100 == 11 for i in found) >= 10 and sum(i % 100 == 50 for i in found) >= 10
+    assert all(x.start >= 160 for i, spans in found.items() if i % 100 == 50 for x in spans)
+
+
 def test_near_passages():
     a = [b"w%d" % i for i in range(80)]
     b = list(a)
