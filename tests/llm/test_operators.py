@@ -392,6 +392,12 @@ def test_language_model(spark, docs, none):
     assert language_model.scores(none, PATH).count() == 0
 
 
+def test_every_window_of_short_documents_teaches(spark):
+    docs = spark.createDataFrame([(i, f"one short text {i}") for i in range(40)], "doc_id long, text string")
+    gathered = language_model._gathered(docs, PATH, language_model.SHARE)
+    assert gathered.where("kind = 2").count() == 40
+
+
 def test_attention_is_a_distribution_and_learns():
     from registra.llm import attention
 
