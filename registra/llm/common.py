@@ -2,52 +2,99 @@
 
 from __future__ import annotations
 
-import gc
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_fallback: dict[str, str] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset, as in tests on one machine, a temporary folder stands in.
+    Where that is unset, as in tests, one machine's temporary folder stands in, but never on a cluster.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return _fallback.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="registra-"))
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share: working tables go there")
+    return _own.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="registra-"))
+
+
+@contextmanager
+def _shuffles_end_with_query(spark: SparkSession):
+    """Within, Spark removes a query's shuffle files as soon as its result is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+_working: ContextVar[list | None] = ContextVar("working", default=None)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/registra/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with _shuffles_end_with_query(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    if (tables := _working.get()) is not None:
+        tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files of plans that are done, at once and not when the driver's heap fills."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def discard(df: DataFrame) -> None:
-    """Remove a table made by materialize() that no later plan reads."""
-    spark = df.sparkSession
+    """Remove tables made by materialize() that ``df`` reads and no later plan does."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/registra/" in path:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def written(label: str):
+    """A function's DataFrame as a table; the working tables that were made on the way are removed."""
+
+    def wrap(f):
+        @wraps(f)
+        def call(*args, **kwargs):
+            mark = _working.set([])
+            df = None
+            try:
+                df = f(*args, **kwargs)
+                with_tables = _working.get()
+                _working.reset(mark)
+                mark = None
+                return materialize(df, label)
+            finally:
+                if mark is not None:
+                    with_tables = _working.get()
+                    _working.reset(mark)
+                spark = df.sparkSession if df is not None else SparkSession.getActiveSession()
+                for path in with_tables:
+                    _delete(spark, path)
+
+        return call
+
+    return wrap
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -91,42 +138,43 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def components_by_bands(items: DataFrame, confirm, may=None, reach: float = 1.0, settle=None, detail=None) -> DataFrame:
+def components_by_bands(items: DataFrame, confirm, settle) -> DataFrame:
     """(id, component) of items that are linked to another one; see connected_components().
 
-    ``items`` has ``id``, ``bands`` (array of keys; links are sought between items that share one) and whatever
-    ``may(x, y)`` needs to tell, as a condition on two aliased rows, that a link is not excluded; ``detail(ids)``, if
-    given, makes that instead, for the few items that get so far. ``confirm(pairs)``
-    tells of pairs (a, b), as ``link``, whether they are linked, and as ``d`` how far apart they are (a metric in
-    which links are within ``reach``, or NULL); pairs that it leaves out are not linked.
+    ``items`` has ``id`` and ``bands`` (array of keys); links are sought between items that share one. ``confirm(pairs)``
+    tells of pairs (a, b), as ``link``, whether they are linked, and as ``d`` how far apart they are, or NULL; pairs
+    that it leaves out are not linked.
 
-    In each bucket every item is first compared with the smallest id only, and confirmed links join components.
-    Pairs that share a bucket but lie in different components follow; pairs within one component need no comparison,
-    nor do pairs whose distances to the bucket's smallest id differ by more than a link's reach. So a group of n
-    similar items costs about n comparisons, not n * n.
+    In each bucket every item is first compared with the smallest id only, and confirmed links join components. Of the
+    buckets that hold several components all the same, ``settle(rows)`` gets the rows (band, a, id, component, d), a
+    being the smallest id and d the distance to it, and returns further links (a, b) across components. So a group
+    of n similar items costs about n comparisons, not n * n, wherever they are linked to one of them.
     """
     banded = items.select("id", F.explode("bands").alias("band"))
     least = banded.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("band", "a")
+    least = materialize(least, "least")
     shared = materialize(banded.join(least, "band"), "shared")
+    discard(least)
     first = materialize(shared.where("id != a").select("a", F.col("id").alias("b")).distinct(), "pairs")
     tested = materialize(confirm(first).select("a", "b", "link", "d"), "tested")
+    discard(first)
     links = tested.where("link").select("a", "b")
 
     labels = connected_components(links)
-    labelled = shared.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    unsettled = labelled.join(split.where("low < high").select("band"), "band")
+    unsettled = unsettled_buckets(shared, labels)
     unsettled = unsettled.join(tested.select("a", F.col("b").alias("id"), "d"), ["a", "id"], "left")
     unsettled = unsettled.withColumn("d", F.when(F.col("id") == F.col("a"), 0.0).otherwise(F.col("d")))
-    if settle is not None:
-        more = materialize(settle(unsettled.select("a", "id", "component", "d").distinct()), "links")
-        return labels if more.isEmpty() else connected_components(links.unionByName(more))
-    more = items.drop("bands") if detail is None else detail(unsettled.select("id").distinct())
-    unsettled = materialize(unsettled.join(more, "id"), "unsettled")
-    apart = F.expr(f"x.band = y.band AND x.id < y.id AND x.component != y.component AND coalesce(abs(x.d - y.d) <= {reach} + 1e-9, true)")
-    second = unsettled.alias("x").join(unsettled.alias("y"), apart & may("x", "y"))
-    second = second.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    if second.isEmpty():
-        return labels
-    return connected_components(links.unionByName(confirm(second).where("link").select("a", "b")))
+    unsettled = materialize(unsettled.select("band", "a", "id", "component", "d"), "unsettled")
+    discard(shared)
+    more = materialize(settle(unsettled), "links")
+    labels = labels if more.isEmpty() else connected_components(links.unionByName(more))
+    for used in (unsettled, tested, more):
+        discard(used)
+    return labels
+
+
+def unsettled_buckets(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` (band, id, ...) of the bands that hold several components, with ``component`` by ``labels``."""
+    labelled = rows.drop("component").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return labelled.join(split.where("low < high").select("band"), "band")

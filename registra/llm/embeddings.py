@@ -108,11 +108,44 @@ def _close_codes(x: str, y: str, threshold: float):
     return (F.col(f"{x}.dim") == F.col(f"{y}.dim")) & (differ <= int(CODE_BITS * p + 5 * (CODE_BITS * p * (1 - p)) ** 0.5))
 
 
+def _linked(rows: pd.DataFrame, cols: pd.DataFrame, threshold: float):
+    """Matrix of the links between vectors of two tiles; estimates tell which cosines are computed."""
+    import numpy as np
+
+    v, w = _unit(rows["v"].to_numpy()), _unit(cols["v"].to_numpy())
+    code, factors = np.stack(cols["code"].to_numpy()), np.stack(cols["factors"].to_numpy())
+    linked = np.zeros((len(v), len(w)), bool)
+    dim, turns = v.shape[1], factors.shape[1]
+    sign = np.unpackbits(np.ascontiguousarray(code).view(np.uint8), axis=1, bitorder="little")[:, : turns * dim] * np.float32(2) - 1
+    scaled = (sign.reshape(-1, turns, dim) / (factors[:, :, None] * dim**0.5 * turns)).reshape(len(w), -1)
+    error = np.sqrt((np.maximum(1 - factors**2, 0) / factors**2).sum(axis=1) / max(1, dim - 1)) / turns
+    turned = v @ rotations(dim, turns * dim)
+    for at in range(0, len(v), 256):
+        part = slice(at, at + 256)
+        may = turned[part] @ scaled.T + ERRORS * error >= threshold
+        if may.mean() > 0.05:
+            linked[part] = may & (v[part] @ w.T >= threshold)
+        else:
+            x, y = np.nonzero(may)
+            linked[x + at, y] = (v[x + at] * w[y]).sum(axis=1) >= threshold
+    return linked
+
+
+def _tiles(members: DataFrame, keys: list[str], sizes: DataFrame, tile: int) -> DataFrame:
+    """``members`` dealt out for all pairs of chunks (i, j) of a group, each of at most about ``tile`` rows.
+
+    A large group meets itself in many tasks, and no pair of rows is made outside a task.
+    """
+    dealt = members.join(sizes, keys).withColumn("chunks", F.ceil(F.col("size") / tile).cast("int"))
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
+    met = dealt.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+    return met.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).drop("other", "chunks", "size")
+
+
 def _link_counts(members: DataFrame, threshold: float, tile: int) -> DataFrame:
     """(id, n): for rows (component, id, copies, v, code, factors), the copies of linked vectors in the component.
 
-    Links lie within components, so these alone are compared, in tiles of at most about 2 * tile vectors: a large
-    component is dealt out over many tasks, and no pair leaves a task.
+    Links lie within components, so these alone are compared.
     """
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -122,22 +155,7 @@ def _link_counts(members: DataFrame, threshold: float, tile: int) -> DataFrame:
         rows, cols = pdf[pdf["chunk"] == i], pdf[pdf["chunk"] == j]
         if not len(rows) or not len(cols):
             return pd.DataFrame({"id": [], "n": []})
-        v, w = _unit(rows["v"].to_numpy()), _unit(cols["v"].to_numpy())
-        code, factors = np.stack(cols["code"].to_numpy()), np.stack(cols["factors"].to_numpy())
-        linked = np.zeros((len(v), len(w)), bool)
-        dim, turns = v.shape[1], factors.shape[1]
-        sign = np.unpackbits(np.ascontiguousarray(code).view(np.uint8), axis=1, bitorder="little")[:, : turns * dim] * np.float32(2) - 1
-        scaled = (sign.reshape(-1, turns, dim) / (factors[:, :, None] * dim**0.5 * turns)).reshape(len(w), -1)
-        error = np.sqrt((np.maximum(1 - factors**2, 0) / factors**2).sum(axis=1) / max(1, dim - 1)) / turns
-        turned = v @ rotations(dim, turns * dim)
-        for at in range(0, len(v), 256):
-            part = slice(at, at + 256)
-            may = turned[part] @ scaled.T + ERRORS * error >= threshold
-            if may.mean() > 0.05:
-                linked[part] = may & (v[part] @ w.T >= threshold)
-            else:
-                x, y = np.nonzero(may)
-                linked[x + at, y] = (v[x + at] * w[y]).sum(axis=1) >= threshold
+        linked = _linked(rows, cols, threshold)
         if i == j:
             np.fill_diagonal(linked, False)
         out = [pd.DataFrame({"id": rows["id"], "n": linked @ cols["copies"].to_numpy()})]
@@ -145,14 +163,50 @@ def _link_counts(members: DataFrame, threshold: float, tile: int) -> DataFrame:
             out.append(pd.DataFrame({"id": cols["id"], "n": linked.T @ rows["copies"].to_numpy()}))
         return pd.concat(out)
 
-    sizes = members.groupBy("component", "dim").agg(F.count("*").alias("size")).withColumn("chunks", F.ceil(F.col("size") / tile).cast("int"))
-    dealt = members.join(sizes.drop("size"), ["component", "dim"]).withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
-    tiles = dealt.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
-    tiles = tiles.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
-    tiles = tiles.select("component", "dim", "i", "j", "chunk", "id", "copies", "v", "code", "factors")
-    return tiles.groupBy("component", "dim", "i", "j").applyInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    keys = ["component", "dim"]
+    tiles = _tiles(members, keys, members.groupBy(*keys).agg(F.count("*").alias("size")), tile)
+    tiles = tiles.select(*keys, "i", "j", "chunk", "id", "copies", "v", "code", "factors")
+    return tiles.groupBy(*keys, "i", "j").applyInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def _settled(rows: DataFrame, codes: DataFrame, vectors: DataFrame, threshold: float, tile: int, large: int = 64) -> DataFrame:
+    """Links (a, b) across components among rows (band, id, component) of one band.
 
+    Buckets of up to ``large`` rows are joined with themselves, and pairs that their codes leave open are confirmed.
+    Larger buckets, as a dense topic fills them, are compared in tiles that emit links only.
+    """
+    rows = rows.select("band", "id", "component")
+    sizes = common.materialize(rows.groupBy("band").agg(F.count("*").alias("size")), "sizes")
+    few = rows.join(sizes.where(F.col("size") <= large).select("band"), "band").join(codes.select("id", "dim", "code"), "id")
+    apart = F.expr("x.band = y.band AND x.id < y.id AND x.component != y.component")
+    pairs = few.alias("x").join(few.alias("y"), apart & _close_codes("x", "y", threshold))
+    pairs = common.materialize(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs")
+
+    def across(pdf: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
 
+        found = []
+        for _, part in pdf.groupby("dim"):
+            one, two = part[part["chunk"] == part["i"]], part[part["chunk"] == part["j"]]
+            if not len(one) or not len(two):
+                continue
+            linked = _linked(one, two, threshold)
+            linked &= one["component"].to_numpy()[:, None] != two["component"].to_numpy()
+            x, y = np.nonzero(linked)
+            # one link between a vector and a component is enough
+            links = pd.DataFrame({"a": one["id"].to_numpy()[x], "b": two["id"].to_numpy()[y], "c": two["component"].to_numpy()[y]})
+            found.append(links.drop_duplicates(["a", "c"])[["a", "b"]])
+        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []})
+
+    many = sizes.where(F.col("size") > large)
+    tiles = _tiles(rows.join(many.select("band"), "band"), ["band"], many, tile)
+    tiles = tiles.join(codes.select("id", "dim", "code", "factors"), "id").join(vectors.select("id", "v"), "id")
+    columns = ["band", "i", "j", "chunk", "id", "component", "dim", "v", "code", "factors"]
+    dense = tiles.select(*columns).groupBy("band", "i", "j").applyInPandas(across, "a long, b long")
+    return _confirm(pairs, codes, vectors, threshold).select("a", "b").unionByName(dense.distinct())
+
+
+@common.written("components")
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, tile: int = 1024) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each vector.
 
@@ -176,8 +230,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, tile: int = 102
     classes = common.materialize(classes, "classes")
     bits, bands = plan(classes.count(), threshold)
     codes = common.materialize(coded(classes.select("id", "v"), bits, bands), "codes")
-    items = codes.select("id", "dim", "code", "bands")
-    labels = common.components_by_bands(items, lambda p: _confirm(p, codes, classes, threshold), lambda x, y: _close_codes(x, y, threshold))
+    labels = common.components_by_bands(
+        codes.select("id", "bands"), lambda p: _confirm(p, codes, classes, threshold), lambda rows: _settled(rows, codes, classes, threshold, tile)
+    )
     labels = common.materialize(labels, "labels")
     members = labels.join(classes.drop("key"), "id").join(codes.select("id", "dim", "code", "factors"), "id")
     counts = _link_counts(members, threshold, tile)

@@ -167,6 +167,7 @@ def _settle(unsettled: DataFrame, reps: DataFrame, docs: DataFrame, width: int,
     return left.select(*columns).unionByName(right.select(*columns)).groupBy("a", "i", "j").applyInPandas(compare, "a long, b long")
 
 
+@common.written("components")
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each document.
 
@@ -185,7 +186,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     items = reps.select("id", "bands")
     labels = common.components_by_bands(
-        items, lambda pairs: _confirm(pairs, reps, docs, width, percent), settle=lambda rows: _settle(rows, reps, docs, width, percent)
+        items, lambda pairs: _confirm(pairs, reps, docs, width, percent), lambda rows: _settle(rows.drop("band").distinct(), reps, docs, width, percent)
     )
     known = reps.select("key", "id").join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     out = table.select("doc_id", "n_shingles", "key").join(known, "key", "left")

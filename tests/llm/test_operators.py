@@ -211,10 +211,67 @@ def test_lines(docs, none):
     found = {r.doc_id: r for r in out.collect()}
     assert [found[i].text for i in range(len(TEXTS))] == kept_lines(TEXTS)
     assert found[6].n_lines == 0 and found[14].n_kept == 2
-    plan = lines._signatures(docs.selectExpr("doc_id AS id", "text AS line"), 8)._jdf.queryExecution().toString()
+    rows = docs.selectExpr("doc_id AS id", "text AS line").where("line IS NOT NULL")
+    plan = lines.signed(rows, 8).join(lines.sketched(rows, 8), "id")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and lines.dedup(none).count() == 0
 
 
+def _jaccard(x, y):
+    one, two = ({t[i : i + 8] for i in range(max(1, len(t) - 7))} for t in (x, y))
+    return len(one & two) / len(one | two)
+
+
+def test_recall_by_kind_of_line(spark):
+    """Pairs just above the threshold, of words, addresses, hex, base64 and characters without blanks."""
+    r = random.Random(8)
+    alphabets = {"hex": "0123456789abcdef", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "cjk": "".join(map(chr, range(0x4E00, 0x4E80)))}
+    make = {k: (lambda a=a: "".join(r.choice(a) for _ in range(160))) for k, a in alphabets.items()}
+    make["words"] = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(30))
+    make["urls"] = lambda: "https://" + "/".join("".join(r.choice("klmnopqrst") for _ in range(6)) for _ in range(22))
+    texts, pairs = [], {}
+    for kind, line in make.items():
+        while len(pairs.setdefault(kind, [])) < 60:
+            x = line()
+            y = list(x)
+            for _ in range(r.randint(1, 3)):
+                y[r.randrange(len(y))] = r.choice("0123456789")
+            y = "".join(y)
+            if x != y and 0.8 <= _jaccard(x, y) <= 0.86:
+                pairs[kind].append(len(texts))
+                texts += [x, y]
+    out = {r.doc_id: r.n_kept for r in lines.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for kind, firsts in pairs.items():
+        assert sum(out[i] == 1 and out[i + 1] == 0 for i in firsts) >= 0.95 * len(firsts), kind
+
+
+def test_blank_lines_stay(spark):
+    texts = ["one line of words here\r\n\r\n\t\r\nanother line of words\r", "one line of words here\r\n\r\nand a third, not like them\r"]
+    out = {r.doc_id: r.text for r in lines.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert out == {0: texts[0], 1: "\r\nand a third, not like them\r"}
+
+
+def test_families_without_links_and_with_chains(spark):
+    """Lines that share most shingles but are no links, and lines linked only by way of others."""
+    r = random.Random(3)
+    base = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300))
+
+    def changed(text, n):
+        out = list(text)
+        for at in r.sample(range(len(out)), n):
+            out[at] = r.choice("0123456789")
+        return "".join(out)
+
+    texts = [changed(base, 5) for _ in range(60)]
+    chain = [changed(base[::-1], 0)]
+    for _ in range(20):
+        chain.append(changed(chain[-1], 2))
+    texts += chain
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if _jaccard(texts[i], texts[j]) >= 0.8]
+    want = components(len(texts), linked)
+    out = {r.doc_id: r.n_kept for r in lines.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert out == {i: int(want[i] == i) for i in range(len(texts))}
+
+
 def test_similar_short_lines_are_found(spark):
     """Lines that differ in a few characters only, against brute force: at most one pair in 100 is lost."""
     r, pairs = random.Random(11), []
