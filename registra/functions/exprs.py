@@ -24,6 +24,14 @@ def valid_org_nr(c: Column | str) -> Column:
     return F.coalesce(F.when(c.rlike(r"^[89][0-9]{8}$"), right), F.lit(False))
 
 
+def is_org_nr(text: str) -> bool:
+    """The same of one text."""
+    if not re.fullmatch(r"[89][0-9]{8}", text):
+        return False
+    check = -sum(int(d) * w for d, w in zip(text, WEIGHTS)) % 11
+    return check != 10 and check == int(text[8])
+
+
 def snake_name(path: str) -> str:
     """A source path as a column name."""
     return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", path).replace(".", "_").lower()

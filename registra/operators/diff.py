@@ -63,7 +63,11 @@ def role_key(roles: DataFrame, order: Sequence[str] = ("ordering", "last_name",
 
     A holder is a person, else an entity, else unknown by its place among all unknown ones of the organisation.
     """
-    unknown = F.row_number().over(W.partitionBy("org_nr").orderBy(*[F.col(c) for c in order if c in roles.columns])).cast("string")
+    # all other columns break ties, so two reads of one extract number alike
+    rest = [c for c in sorted(roles.columns) if c not in order]
+    nobody = F.col("person_id").isNull() & F.col("entity_org_nr").isNull()
+    place = W.partitionBy("org_nr", nobody).orderBy(*[F.col(c) for c in [*order, *rest] if c in roles.columns])
+    unknown = F.row_number().over(place).cast("string")
     holder = F.coalesce(F.col("person_id"), F.concat(F.lit("entity:"), F.col("entity_org_nr")), F.concat(F.lit("unknown:"), unknown))
     part = lambda c: F.coalesce(F.col(c), F.lit("NA"))
     keyed = roles.withColumn("holder_id", holder)
@@ -86,7 +90,10 @@ def role_changes(old: DataFrame | None, new: DataFrame, timestamp: str, update_i
     new = keyed(new)
     old = keyed(old) if old is not None else new.where("false")
     both = _joined(old, new, ["role_key", "org_nr"], list(columns))
-    pairs = _long(both, columns, (_kinds(old), _kinds(new)))
+    text = lambda side, c: F.col(f"{side}.{c}").cast("string")
+    differ = [F.when(~text("old", c).eqNullSafe(text("new", c)), F.lit(c)) for c in columns]
+    both = both.withColumn("_changed", F.array_compact(F.array(*differ))).where(F.size("_changed") > 0)
+    pairs = _long(both, columns, (_kinds(old), _kinds(new))).where(F.array_contains("_changed", F.col("_pair.field")))
     kind = F.when(F.col("old").isNull(), "entry").when(F.col("new").isNull(), "exit").otherwise("change")
     pairs = pairs.select(
         F.lit(timestamp).alias("timestamp"), "org_nr", F.lit("roller").alias("registry"), kind.alias("change_type"), "_pair.*",

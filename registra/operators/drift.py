@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 
 def lifecycle(bankrupt: str = "bankrupt", forced: str = "forced_dissolution", liquidation: str = "in_liquidation") -> Column:
-    """bankrupt before forced before liquidation before ordinary."""
+    """konkurs before tvangsavvikling before avvikling before ordinary, as the source names them."""
     true = lambda c: F.col(c).eqNullSafe(F.lit(True))
-    return F.when(true(bankrupt), "bankrupt").when(true(forced), "forced").when(true(liquidation), "liquidation").otherwise("ordinary")
+    return F.when(true(bankrupt), "konkurs").when(true(forced), "tvangsavvikling").when(true(liquidation), "avvikling").otherwise("ordinary")
 
 
 def segment(form: str = "legal_form", state: Column | None = None) -> Column:
@@ -102,6 +102,23 @@ def top_segment(rows: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame
     return rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
+def concentration(rows: DataFrame) -> DataFrame:
+    """(path, segment, theta, theta_marg, concentration): the segment that drives each path, against all segments.
+
+    ``rows`` are prevalence() rows of a period, or cumulated ones; segments are counted once each.
+    """
+    total = rows.select("segment", "n").distinct().agg(F.sum("n").alias("_all"))
+    marginal = rows.groupBy("path").agg(F.sum("k").alias("_k")).withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
+    marginal = marginal.select("path", (F.col("_k") / F.col("_all")).alias("theta_marg"))
+    found = top_segment(rows).withColumn("theta", theta()).join(marginal, "path")
+    return found.select("path", "segment", "theta", "theta_marg", (F.col("theta") - F.col("theta_marg")).alias("concentration"))
+
+
+def coverage(rows: DataFrame) -> DataFrame:
+    """(segment, n, n_fields): how many fields each segment is seen to fill."""
+    return rows.groupBy("segment").agg(F.max("n").alias("n"), F.count_if(F.col("k") > 0).alias("n_fields"))
+
+
 def cumulate(before: DataFrame, now: DataFrame, period: str) -> DataFrame:
     """Field state (segment, path, type, k_cum, periods_seen, last_period) after a period."""
     fresh = now.select("segment", "path", "type", F.col("k").alias("_k"))
@@ -114,10 +131,11 @@ def cumulate(before: DataFrame, now: DataFrame, period: str) -> DataFrame:
 
 
 def drifted(before: DataFrame, now: DataFrame, expected: float = 0.8) -> DataFrame:
-    """(status, segment, path): new paths, and paths filled by ``expected`` or more before that are gone although
+    """(status, segment, path): new paths with the segment that fills them most, and paths filled by ``expected`` or more before that are gone although
     their segment was seen again (D6). ``before`` and ``now`` are prevalence() rows."""
-    new = now.select("path").distinct().join(before.select("path").distinct(), "path", "left_anti")
-    new = new.select(F.lit("new").alias("status"), F.lit(None).cast("string").alias("segment"), "path")
+    fresh = now.join(before.select("path").distinct(), "path", "left_anti")
+    most = F.row_number().over(W.partitionBy("path").orderBy(F.desc("k"), "segment"))
+    new = fresh.withColumn("_rank", most).where("_rank = 1").select(F.lit("new").alias("status"), "segment", "path")
     gone = before.where(theta() >= expected).select("segment", "path").join(now.select("segment").distinct(), "segment", "left_semi")
     gone = gone.join(now.select("segment", "path"), ["segment", "path"], "left_anti")
     return new.unionByName(gone.select(F.lit("removed").alias("status"), "segment", "path"))
@@ -136,9 +154,14 @@ def source_changes(before: DataFrame, now: DataFrame) -> DataFrame:
     return new.unionByName(both.select("kind", "item", F.lit("changed").alias("status")))
 
 
+def report_rows(rows: DataFrame, columns: tuple[str, ...], top: int = 12) -> DataFrame:
+    """The first ``top`` rows by the last column, largest first, as a report lists them."""
+    return rows.select(*columns).orderBy(F.desc(columns[-1]), *columns[:-1]).limit(top)
+
+
 def report(rows: DataFrame, title: str, columns: tuple[str, ...], top: int = 12) -> str:
     """A short report in Markdown (D8, T6): the first ``top`` rows by the last column, largest first."""
-    found = rows.orderBy(F.desc(columns[-1]), *columns[:-1]).limit(top).collect()
+    found = report_rows(rows, columns, top).collect()
     lines = [f"## {title}", "", "| " + " | ".join(columns) + " |", "|" + "---|" * len(columns)]
     return "\n".join(lines + ["| " + " | ".join(str(r[c]) for c in columns) + " |" for r in found]) + "\n"
 

@@ -56,9 +56,9 @@ def survival(data: DataFrame, censoring_date: str, entry: str = "founding_date",
 
 
 def _net(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """rows (date, by..., entries, exits) summed; groups may be NULL, so one grouping and no join."""
+    """rows (date, by..., entries, exits) summed, by date (T2); groups may be NULL, so one grouping and no join."""
     sums = rows.groupBy("date", *by).agg(F.sum("entries").alias("entries"), F.sum("exits").alias("exits"))
-    return sums.withColumn("net", F.col("entries") - F.col("exits"))
+    return sums.withColumn("net", F.col("entries") - F.col("exits")).orderBy("date", *by)
 
 
 def _between(c: Column, start, end) -> Column:

@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import valid_org_nr
+from ..functions.exprs import is_org_nr
 
 
 def entity(org_nr: str, main: DataFrame, sub: DataFrame, deleted: DataFrame | None = None, registry: str = "auto") -> DataFrame:
     """The entity of a number (S1): the main register's, else the sub-units', else its tombstone; with its registry."""
-    if not org_nr.isdigit() or not main.sparkSession.range(1).select(valid_org_nr(F.lit(org_nr)).alias("v")).first().v:
+    if not is_org_nr(org_nr):
         raise ValueError(f"{org_nr!r} is not an organisation number")
     sides = [(main, "enheter"), (sub, "underenheter")]
     found = [df.where(F.col("org_nr") == org_nr).withColumns({"registry": F.lit(n), "_rank": F.lit(k)}) for k, (df, n) in enumerate(sides) if registry in ("auto", n)]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries, exprs
-from ..operators import changes, diff, drift, governance, graph, harmonize, label, lookup, panel, replay
+from ..operators import changes, diff, drift, governance, graph, label, lookup, panel, replay
 from ..sources import ingest, store, updates
 from . import adapters as A
 
@@ -115,7 +115,7 @@ def harmonize_remap(spark, sf):
         F.lpad(F.col("n_nationkey").cast("string"), 4, "0").alias("source_code"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("target_code"), F.col("r_name").alias("target_name"),
         F.when(F.col("n_nationkey") % 2 == 0, F.lit("2000-01-01")).otherwise("2030-01-01").cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
     )
-    return harmonize.municipality(A.entities(spark, sf).select("org_nr", "municipality_code"), table, "2024-01-01")
+    return label.harmonize_municipality(A.entities(spark, sf).select("org_nr", "municipality_code"), table, "2024-01-01")
 
 
 @register(
@@ -125,7 +125,7 @@ def harmonize_remap(spark, sf):
 def harmonize_ambiguous(spark, sf):
     """L5, J11, A9"""
     n = A.table(spark, sf, "nation")
-    return harmonize.nace(n.select(F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("nace_1")), n.select(F.col("n_regionkey").cast("string").alias("source_code"), F.col("n_name").alias("target_code")))
+    return label.harmonize_nace(n.select(F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("nace_1")), n.select(F.col("n_regionkey").cast("string").alias("source_code"), F.col("n_name").alias("target_code")))
 
 
 # periods, panels, series
@@ -182,7 +182,7 @@ def series_count(spark, sf):
     FROM snapshots JOIN mapping USING (snapshot_date) GROUP BY period""", A.SNAPSHOTS, _TARGETS, _AVAILABLE, _MAPPING
 )
 def series_multi_fn(spark, sf):
-    """A1, A2"""
+    """A1"""
     out = panel.series(A.snapshots(spark, sf), _mapping(spark), ("orders",), ("total", "mean", "min", "max", "n_distinct"))
     return out.withColumn("orders_mean", F.round("orders_mean", 6))
 
@@ -484,24 +484,12 @@ def list_flatten(spark, sf):
     return rows.select("conv_id", ingest.cell(F.col("roles"), rows.schema["roles"].dataType).alias("roles"))
 
 
-@register("SELECT 'employees' AS \"column\", 'int' AS expected, c_mktsegment AS actual FROM customer WHERE c_custkey % 11 = 0 AND c_custkey <= 200")
+@register("SELECT 'employees' AS \"column\", 'int' AS expected, c_mktsegment AS actual FROM customer WHERE c_custkey % 11 = 0 ORDER BY c_custkey LIMIT 20")
 def coerce_problems(spark, sf):
     """P5"""
     key = F.col("c_custkey")
-    flat = A.table(spark, sf, "customer").where("c_custkey <= 200").select(F.when(key % 11 == 0, F.col("c_mktsegment")).otherwise(key.cast("string")).alias("antallAnsatte"))
-    return ingest.parse_problems(flat).drop("row")
-
-
-@register()
-def roles_flatten(spark, sf):
-    """Role rows are nested as the extract has them, and flattened again"""
-    r = A.roles(spark, sf)
-    person = F.when(F.col("person_id").isNotNull(), F.struct(F.col("birth_date").cast("string").alias("fodselsdato"), F.struct(F.col("first_name").alias("fornavn"), F.col("middle_name").alias("mellomnavn"), F.col("last_name").alias("etternavn")).alias("navn"), F.col("deceased").alias("erDoed")))
-    unit = F.when(F.col("entity_org_nr").isNotNull(), F.struct(F.col("entity_org_nr").alias("organisasjonsnummer"), F.array("entity_name").alias("navn")))
-    role = F.struct(F.struct(F.col("role_code").alias("kode")).alias("type"), person.alias("person"), unit.alias("enhet"), F.col("resigned").alias("fratraadt"), F.col("deregistered").alias("avregistrert"), F.col("ordering").alias("rekkefolge"), F.struct(F.col("elected_by").alias("kode")).alias("valgtAv"))
-    groups = r.groupBy("org_nr", "role_group_code").agg(F.collect_list(role).alias("roller"))
-    group = F.struct(F.struct(F.col("role_group_code").alias("kode")).alias("type"), F.lit(None).cast("string").alias("sistEndret"), "roller")
-    return ingest.flatten_roles(groups.groupBy(F.col("org_nr").alias("organisasjonsnummer")).agg(F.collect_list(group).alias("rollegrupper")))
+    odd = F.when(key % 11 == 0, F.col("c_mktsegment")).otherwise(key.cast("string"))
+    return ingest.parse_problems(A.table(spark, sf, "customer").select("c_custkey", odd.alias("antallAnsatte")), key="c_custkey").drop("row")
 
 
 # store and drift
@@ -515,13 +503,6 @@ def retention_plan(spark, sf):
     return store.retention_plan(A.available(spark), 3, 1000, "2000-06-30")
 
 
-@register("SELECT org_nr, status, orders FROM snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots)", A.SNAPSHOTS)
-def latest_snapshot(spark, sf):
-    """T5, S21"""
-    s = A.snapshots(spark, sf)
-    return s.join(F.broadcast(s.agg(F.max("snapshot_date").alias("snapshot_date"))), "snapshot_date").select("org_nr", "status", "orders")
-
-
 _PREVALENCE = """k AS (SELECT concat(legal_form, '|', CASE WHEN bankrupt THEN 'bankrupt' ELSE 'ordinary' END) AS segment, count(*) AS n, count(parent_org_nr) AS parent_org_nr, count(bankruptcy_date) AS bankruptcy_date, count(liquidation_date) AS liquidation_date FROM entities GROUP BY 1),
  p AS (SELECT segment, path, k, n FROM (""" + " UNION ALL ".join(f"SELECT segment, '{c}' AS path, {c} AS k, n FROM k" for c in ("parent_org_nr", "bankruptcy_date", "liquidation_date")) + ") WHERE k > 0)"
 

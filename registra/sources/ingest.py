@@ -15,13 +15,16 @@ from ..functions.types import BOOLEAN, INT, STRING, array, struct
 
 
 def read_csv(spark: SparkSession, path: str, n_max: int | None = None) -> DataFrame:
-    """A bulk CSV (S9): commas, UTF-8, quoted line breaks, every column a text."""
+    """A bulk CSV (S9): commas, UTF-8, quoted line breaks, every column a text.
+
+    Quoted line breaks make a file one task: write large ones as a snapshot once and read that.
+    """
     out = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return out if n_max is None else out.limit(n_max)
 
 
 def read_json(spark: SparkSession, path: str, kind: T.StructType | None = None, lines: bool = False) -> DataFrame:
-    """A bulk JSON array, or JSON lines, which many tasks can read."""
+    """A bulk JSON array, which one task reads, or JSON lines, which many tasks can read."""
     reader = spark.read.option("multiLine", not lines)
     return (reader if kind is None else reader.schema(kind)).json(path)
 
@@ -79,12 +82,12 @@ def tidy(flat: DataFrame) -> DataFrame:
     return flat.select(*typed, *[quoted(n).alias(c) for c, n in other.items() if c not in schema.COLUMN_TYPES])
 
 
-def parse_problems(flat: DataFrame, most: int = 20) -> DataFrame:
+def parse_problems(flat: DataFrame, most: int = 20, key: str | None = None) -> DataFrame:
     """(column, row, expected, actual): values of dictionary columns that can't be read, ``most`` for each (P5).
 
-    Rows are numbered by their order in the file's partitions, so the first ones of a column are reported.
+    Rows are told by ``key``, or else by their order in the file's partitions; the first ones of a column are reported.
     """
-    numbered = flat.withColumn("_row", F.monotonically_increasing_id())
+    numbered = flat.withColumn("_row", F.monotonically_increasing_id() if key is None else F.col(key).cast("long"))
     pairs = []
     for name in flat.columns:
         column = schema.PATH_COLUMNS.get(name.lower())

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime
 import json
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import schema
+from . import ingest
 
 
 class Store:
@@ -55,22 +57,42 @@ class Store:
         path = f"{self.root}/{kind}/snapshot_date={date}"
         if self._exists(path) and not force:
             return False
-        df.write.mode("overwrite").parquet(path)
-        rows = self.spark.read.parquet(path).agg(F.count("*")).first()[0]
+        counted = Observation()
+        df.observe(counted, F.count("*").alias("rows")).write.mode("overwrite").parquet(path)
+        rows = counted.get["rows"]
         self.append_manifest(id=f"{kind}-{date}", type=kind, snapshot_date=date, record_count=rows, parquet_path=path, **provenance)
         return True
 
+    def import_file(self, path: str, kind: str, date: str, format: str = "csv", force: bool = False) -> bool:
+        """A bulk file as a snapshot (K2, K3): CSV or JSON of entities, JSON of roles; it is kept where it is."""
+        if kind == "roller":
+            rows = ingest.flatten_roles(ingest.read_json(self.spark, path, ingest.ROLE_INPUT, lines=format == "jsonl"))
+        elif format == "csv":
+            rows = ingest.tidy(ingest.read_csv(self.spark, path))
+        else:
+            rows = ingest.parse_entities(ingest.read_json(self.spark, path, lines=format == "jsonl"))
+        return self.write_snapshot(rows, kind, date, force, format=format, raw_path=path)
+
     def open(self, kind: str) -> DataFrame:
         """All snapshots as one table with snapshot_date, columns merged, known ones of their type."""
-        if not self.snapshots(kind):
+        found = self.snapshots(kind)
+        if not found:
             raise FileNotFoundError(f"no snapshots of {kind}")
-        out = self.spark.read.option("mergeSchema", True).option("basePath", f"{self.root}/{kind}").parquet(f"{self.root}/{kind}")
-        return out.withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+        alike: dict[str, list[str]] = {}
+        for _, _, path in found:
+            alike.setdefault(self.spark.read.parquet(path).schema.simpleString(), []).append(path)
+        out = None
+        for paths in alike.values():
+            part = _typed(self.spark.read.option("basePath", f"{self.root}/{kind}").parquet(*paths))
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        return out
 
     def latest(self, kind: str) -> DataFrame | None:
         """The newest snapshot, or None."""
         found = self.snapshots(kind)
-        return self.open(kind).where(F.col("snapshot_date") == F.lit(found[-1][0])) if found else None
+        if not found:
+            return None
+        return _typed(self.spark.read.parquet(found[-1][2]).withColumn("snapshot_date", F.lit(found[-1][0])))
 
     def cleanup(self, kind: str, keep_n: int | None = None, max_age_days: int | None = None, today: datetime.date | None = None) -> list[str]:
         """Delete what retention_plan() names (K7)."""
@@ -93,13 +115,16 @@ class Store:
             return schema.empty(self.spark, schema.MANIFEST)
         return self.spark.read.schema(schema.MANIFEST).json(f"{self.root}/manifest")
 
-    # state: version folders and a pointer that is renamed into place
+    # state: version folders, and numbered pointers of which the last counts
+
+    def _pointers(self, kind: str) -> list[str]:
+        return [n for n in self._names(f"{self.root}/state/{kind}") if re.fullmatch(r"pointer-\d{12}", n)]
 
     def _pointer(self, kind: str) -> dict:
-        path = f"{self.root}/state/{kind}/CURRENT"
-        if not self._exists(path):
+        found = self._pointers(kind)
+        if not found:
             return {"version": None, "batch_id": -1, "cursor": 0}
-        return json.loads("\n".join(r.value for r in self.spark.read.text(path).collect()))
+        return json.loads("\n".join(r.value for r in self.spark.read.text(f"{self.root}/state/{kind}/{found[-1]}").collect()))
 
     def has_state(self, kind: str) -> bool:
         return self._pointer(kind)["version"] is not None
@@ -113,19 +138,27 @@ class Store:
         return self._pointer(kind)
 
     def write_state(self, df: DataFrame, kind: str, batch_id: int = 0, cursor: int = 0) -> None:
-        """A new version, then the pointer (K4): a reader sees the old or the new one, never a part."""
+        """A new version, then a pointer of the next number (K4): a reader sees the old or the new one, never a part.
+
+        A pointer is renamed into place from a temporary name, and no other is touched before it is there. The two
+        newest versions stay, for readers that still have the older one open; those before are removed.
+        """
         version = f"v={batch_id}-{uuid.uuid4().hex[:8]}"
         base = f"{self.root}/state/{kind}"
         df.write.mode("overwrite").parquet(f"{base}/{version}")
         text = json.dumps({"version": version, "batch_id": batch_id, "cursor": cursor})
-        fs, temporary = self._fs(f"{base}/CURRENT.{uuid.uuid4().hex[:8]}")
+        before = self._pointers(kind)
+        held = {json.loads(r.value)["version"] for n in before[-1:] for r in self.spark.read.text(f"{base}/{n}").collect()}
+        number = int(before[-1].rpartition("-")[2]) + 1 if before else 0
+        fs, temporary = self._fs(f"{base}/_{uuid.uuid4().hex[:8]}")
         out = fs.create(temporary, True)
         out.write(bytearray(text.encode()))
         out.close()
-        _, final = self._fs(f"{base}/CURRENT")
-        if fs.exists(final):
-            fs.delete(final, False)
-        fs.rename(temporary, final)
+        if not fs.rename(temporary, self._fs(f"{base}/pointer-{number:012d}")[1]):
+            raise RuntimeError(f"state {kind} was written by another at the same time")
+        for name in self._names(base):
+            if (name.startswith("v=") and name not in held | {version}) or name in before[:-1]:
+                fs.delete(self._fs(f"{base}/{name}")[1], True)
 
     # changelog
 
@@ -140,6 +173,21 @@ class Store:
         out = self.spark.read.option("basePath", f"{self.root}/changelog").parquet(f"{self.root}/changelog")
         return out.withColumn("sync_date", F.col("sync_date").cast("date")).drop("batch_id")
 
+    def status_table(self) -> DataFrame:
+        """(part, kind, entries, bytes, rows) of snapshots, states and the changelog (K10, K11); rows by manifest."""
+        out = []
+        counts = {(r.type, r.snapshot_date): r.record_count for r in self.manifest().collect()}
+        size = lambda path: self._fs(path)[0].getContentSummary(self._fs(path)[1]).getLength()
+        for kind in (n for n in self._names(self.root) if n not in ("state", "manifest", "changelog")):
+            found = self.snapshots(kind)
+            out.append(("snapshots", kind, len(found), sum(f[1] for f in found), sum(counts.get((kind, str(f[0])), 0) for f in found)))
+        for kind in self._names(f"{self.root}/state"):
+            version = self._pointer(kind)["version"]
+            out.append(("state", kind, int(version is not None), size(f"{self.root}/state/{kind}/{version}") if version else 0, None))
+        days = self._names(f"{self.root}/changelog")
+        out.append(("changelog", None, len(days), size(f"{self.root}/changelog") if days else 0, None))
+        return self.spark.createDataFrame(out, "part string, kind string, entries int, bytes long, rows long")
+
     def status(self) -> dict:
         """What there is (K10, K11): snapshots, state pointers, changelog partitions."""
         kinds = [n for n in self._names(self.root) if n not in ("state", "manifest", "changelog")]
@@ -150,6 +198,12 @@ class Store:
         }
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    """Known columns in their type, whatever a file holds."""
+    kinds = {c: k for c, k in schema.COLUMN_TYPES.items() if c in df.columns} | {"snapshot_date": "date"}
+    return df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+
+
 def retention_plan(listing: DataFrame, keep_n: int | None, max_age_days: int | None, today) -> DataFrame:
     """``listing`` with ``remove``: older than the limit, or beyond the newest ``keep_n``."""
     if keep_n is None and max_age_days is None:

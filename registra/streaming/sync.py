@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import schema
+from ..operators.changes import apply_annotation_patches
 from ..operators.diff import role_changes
 from ..operators.replay import change_rows, replay
 from ..sources import updates as feeds
@@ -18,8 +20,9 @@ def bootstrap(store: Store, kind: str, initial: DataFrame, cursor: int = 0) -> N
 
 
 def apply_batch(store: Store, kind: str, batch: DataFrame, batch_id: int, phase_order: bool = False) -> None:
-    """One batch of events (C4-C7, C11): changelog first, then the state, then its pointer.
+    """One batch of events (C4-C7, C9, C11): changelog first, then the states, then their pointers.
 
+    Where the store holds annotations, patches of them are applied to these, and a deletion takes an entity's away.
     The changelog's folder is named by the batch and by the day of its last event, so a repeat after a failure
     overwrites it; a batch that the state already holds is passed over.
     """
@@ -32,7 +35,18 @@ def apply_batch(store: Store, kind: str, batch: DataFrame, batch_id: int, phase_
         if last.id is None:
             return
         base = store.state(kind)
-        store.write_changelog(change_rows(base, batch, registry=kind, phase_order=phase_order), last.day, batch_id)
+        rows = change_rows(base, batch, registry=kind, phase_order=phase_order)
+        notes = None
+        if store.has_state("paategninger"):
+            held = store.state("paategninger")
+            patches = feeds.update_fields(batch).where(F.lower("field").rlike("^paategninger"))
+            notes, log = apply_annotation_patches(held, patches)
+            gone = batch.where(F.col("change_type").isin(*schema.DELETED)).select("org_nr").distinct()
+            notes = notes.join(gone, "org_nr", "left_anti")
+            rows = rows.unionByName(log, allowMissingColumns=True)
+        store.write_changelog(rows, last.day, batch_id)
+        if notes is not None and store.cursor("paategninger")["batch_id"] < batch_id:
+            store.write_state(notes, "paategninger", batch_id, last.id)
         store.write_state(replay(base, batch, phase_order=phase_order), kind, batch_id, last.id)
     finally:
         batch.unpersist()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registra.functions import dictionaries, exprs, schema
-from registra.operators import changes, diff, drift, governance, graph, harmonize, label, lookup, panel, replay
+from registra.operators import changes, diff, drift, governance, graph, label, lookup, panel, replay
 from registra.sources import ingest, updates
 from registra.sources.store import Store, retention_plan
 from registra.streaming import sync
@@ -229,7 +229,7 @@ def test_labels_and_concordances(spark):
     assert rows(out, "org_nr", "legal_form") == [("1", "Private limited company"), ("2", "ZZZZZ"), ("3", None)]
     table = spark.createDataFrame([("A", "B"), ("A", "C"), ("D", "E")], "source_code string, target_code string")
     codes = spark.createDataFrame([("A",), ("D",), ("X",), (None,)], "nace_1 string")
-    assert rows(harmonize.nace(codes, table)) == sorted([("A", "B", True), ("D", "E", False), ("X", "X", False), (None, None, False)], key=str)
+    assert rows(label.harmonize_nace(codes, table)) == sorted([("A", "B", True), ("D", "E", False), ("X", "X", False), (None, None, False)], key=str)
 
 
 def test_graph(spark):
@@ -257,7 +257,7 @@ def test_drift(spark):
     assert abs(drift.beta_quantile(0.025, 5.5, 0.5) - 0.6206) < 2e-3
     before = spark.createDataFrame([("AS", "a", 9, 10), ("AS", "b", 1, 10)], "segment string, path string, k long, n long")
     now = spark.createDataFrame([("AS", "c", 3, 10)], "segment string, path string, k long, n long")
-    assert rows(drift.drifted(before, now)) == [("new", None, "c"), ("removed", "AS", "a")]
+    assert rows(drift.drifted(before, now)) == [("new", "AS", "c"), ("removed", "AS", "a")]
 
 
 def test_queries_match_names():
@@ -272,3 +272,41 @@ def test_plans(spark):
     for name in ("snapshot_diff", "replay_asof", "board_summary", "flows_with_exits", "role_diff"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan and "Python" not in plan, name
+
+
+def test_state_pointers(spark, tmp_path):
+    """Versions beyond the last two go; a pointer that was never finished is passed over."""
+    store = Store(spark, f"file://{tmp_path}")
+    frame = lambda n: spark.createDataFrame([(str(n),)], "org_nr string")
+    for n in range(4):
+        store.write_state(frame(n), "enheter", n, 10 * n)
+        (tmp_path / "state" / "enheter" / "_left").write_text("half a po")
+        assert [r.org_nr for r in store.state("enheter").collect()] == [str(n)] and store.cursor("enheter")["cursor"] == 10 * n
+    kept = [p.name for p in (tmp_path / "state" / "enheter").iterdir() if p.name.startswith(("v=", "pointer-"))]
+    assert sum(k.startswith("v=") for k in kept) == 2 and sorted(k for k in kept if k.startswith("pointer"))[-1] == "pointer-000000000003"
+
+
+def test_snapshots_of_different_types_open_as_one(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    store.write_snapshot(spark.createDataFrame([("1", "5")], "org_nr string, employees string"), "enheter", "2024-01-31")
+    store.write_snapshot(spark.createDataFrame([("1", 6, "x")], "org_nr string, employees int, own string"), "enheter", "2024-02-29")
+    assert rows(store.open("enheter"), "snapshot_date", "employees", "own") == sorted([(datetime.date(2024, 1, 31), 5, None), (datetime.date(2024, 2, 29), 6, "x")], key=str)
+    assert store.open("enheter").schema["employees"].dataType.simpleString() == "int"
+
+
+def test_sync_routes_annotations(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    sync.bootstrap(store, "enheter", spark.createDataFrame([("1", "A"), ("2", "B"), ("3", "C")], "org_nr string, name string"))
+    sync.bootstrap(store, "paategninger", spark.createDataFrame([("1", 0, "NAVN", "t", None), ("2", 0, "FADR", "u", None), ("3", 0, "FADR", "w", None)], schema.ANNOTATIONS))
+    patch = lambda op, field, v: (op, field, v)
+    batch = spark.createDataFrame(
+        [
+            (5, "1", "Endring", datetime.datetime(2024, 1, 1), [patch("replace", "paategninger", None)]),
+            (6, "2", "Endring", datetime.datetime(2024, 1, 1), [patch("add", "paategninger_-_infotype", "NAVN"), patch("add", "paategninger_-_tekst", "v")]),
+            (7, "3", "Sletting", datetime.datetime(2024, 1, 2), []),
+        ], schema.UPDATES,
+    )
+    sync.apply_batch(store, "enheter", batch, 0)
+    assert rows(store.state("paategninger"), "org_nr", "position", "infotype") == [("2", 0, "FADR"), ("2", 1, "NAVN")]
+    kinds = {r.change_type for r in store.changelog().collect()}
+    assert {"annotation_cleared", "annotation_added", "exit"} <= kinds
