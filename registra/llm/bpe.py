@@ -52,6 +52,69 @@ class Units:
                 yield True, stretch.split(" ")
 
 
+def _last_blank(part: str) -> int:
+    """The last single blank between other characters, before which a pre-token ends; 0 if there is none."""
+    at = part.rfind(" ", 1, -1)
+    while at > 0 and (part[at - 1].isspace() or part[at + 1].isspace()):
+        at = part.rfind(" ", 1, at)
+    return max(at, 0)
+
+
+def _last_end(part: str) -> int:
+    """The end of the last pre-token of a part that what follows can't change; 0 if there is none.
+
+    White space at an end would read otherwise, so a cut follows another character.
+    """
+    last = 0
+    for m in _pre_tokens.finditer(part):
+        if m.end() > len(part) - 4:
+            break
+        last = last if part[m.end() - 1].isspace() else m.end()
+    return last
+
+
+def blocks(text: str, special: dict[str, int], size: int) -> Iterator[tuple[bool, str]]:
+    """The text cut into stretches that encode alike alone: (whether it is one unfinished pre-token's piece, piece).
+
+    A stretch of about ``size`` characters ends where a pre-token does, whatever follows: at its last one that ends
+    four characters or more before what was read, since no rule looks further ahead. A pre-token that alone fills a
+    stretch comes piece by piece, and then an empty piece that ends it. Special strings are stretches of their own.
+    """
+    marks = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+    found = marks.finditer(text) if marks and any(s in text for s in special) else iter(())
+    at, more = 0, True
+    while more:
+        mark = next(found, None)
+        more, end = mark is not None, len(text) if mark is None else mark.start()
+        while at < end:
+            if end - at <= size:
+                yield False, text[at:end]
+                break
+            part = text[at : at + size]
+            if cut := _last_blank(part) or _last_end(part):
+                yield False, part[:cut]
+                at += cut
+                continue
+            stop = _pre_tokens.match(text, at, end).end()
+            if text[stop - 1].isspace():
+                # a run of white space: its last character may belong to what follows, so all of it is read at once
+                while stop < end and text[stop].isspace():
+                    stop += 1
+                stop = min(end, stop + 1)
+                after = _pre_tokens.match(text, stop - 1, end) if stop < end else None
+                stop = stop if after is None else after.end()
+                yield False, text[at:stop]
+                at = stop
+                continue
+            for first in range(at, stop, size):
+                yield True, text[first : min(stop, first + size)]
+            yield True, ""
+            at = stop
+        if mark:
+            yield False, mark.group()
+            at = mark.end()
+
+
 class UnitTable:
     """unit -> value, by a fixed first tier and a bounded cache filled by ``encode(list of units)``.
 
@@ -147,7 +210,7 @@ class MergeList:
                 heapq.heappush(heap, (r[0], h, r[1], live[h], merged))
         return [x for x in live if x is not None]
 
-    def stream(self, chunks: Iterable[bytes], block: int = 2048) -> Iterator[int]:
+    def stream(self, chunks: Iterable[bytes], block: int = 256) -> Iterator[int]:
         """Token ids of one pre-token that arrives in chunks, in memory bounded by block + lookahead.
 
         A token whose end lies at least ``lookahead`` bytes before the end of what was read can't change any more:
@@ -175,7 +238,7 @@ class MergeList:
         out: list[int] = []
         for pre_token in _pre_tokens.findall(unit):
             raw = pre_token.encode("utf-8", "replace")
-            out += self.merge(raw) if len(raw) <= 256 else self.stream([raw])
+            out += self.stream([raw])
         return out
 
 

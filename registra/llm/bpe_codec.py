@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .bpe import TextDecoder, Units, UnitTable, as_bytes, merge_list
+from .bpe import TextDecoder, Units, UnitTable, as_bytes, blocks, merge_list
 
 _known: dict[str, UnitTable] = {}
 
@@ -21,10 +23,33 @@ def _units(path: str) -> tuple[Units, UnitTable]:
     return Units(merges.special), _known[path]
 
 
+def encoded_blocks(text: str | None, path: str, block: int = 8_192) -> Iterator[bytes]:
+    """Token ids of a text as little-endian unsigned 32-bit integers, block by block as they become stable.
+
+    Characters enter in stretches that end with a pre-token; a pre-token longer than a stretch enters in pieces, and
+    its tokens leave once they lie ``lookahead`` bytes behind. So beyond the text itself, memory is that of a block.
+    """
+    merges = merge_list(path)
+    cut, known = _units(path)
+    pieces = blocks(text or "", merges.special, block)
+    for unfinished, piece in pieces:
+        if not unfinished:
+            yield b"".join(v for spaced, parts in cut.segments(piece) for v in known.values(spaced, parts))
+            continue
+
+        def chunks(first=piece):
+            while first:
+                yield first.encode("utf-8", "replace")
+                first = next(pieces)[1]
+
+        tokens = merges.stream(chunks())
+        while ids := list(islice(tokens, block)):
+            yield as_bytes(ids)
+
+
 def encode_text(text: str | None, path: str) -> bytes:
     """Token ids of a whole text as little-endian unsigned 32-bit integers."""
-    cut, known = _units(path)
-    return b"".join(v for spaced, parts in cut.segments(text or "") for v in known.values(spaced, parts))
+    return b"".join(encoded_blocks(text, path))
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -53,25 +78,29 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, text string")
 
 
+def digests(text: str | None, path: str, block: int = 8_192) -> tuple[int, str, str]:
+    """(number of ids, SHA-256 of the ids, SHA-256 of what they decode to), of which nothing is held as a whole."""
+    from array import array
+
+    decoder, of_ids, of_text, n = TextDecoder(merge_list(path)), hashlib.sha256(), hashlib.sha256(), 0
+    for ids in encoded_blocks(text, path, block):
+        n += len(ids) // 4
+        of_ids.update(ids)
+        of_text.update(decoder.feed(array("I", ids)).encode())
+    of_text.update(decoder.finish().encode())
+    return n, of_ids.hexdigest(), of_text.hexdigest()
+
+
 def codec_digests(docs: DataFrame, path: str, block: int = 8_192) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded, and its ids decoded, block by block.
 
     Null and empty texts have no ids and decode to the empty text. Repeated rows give repeated results; other
-    columns are ignored; an empty table gives an empty result. Long pre-tokens stream through a fixed window.
+    columns are ignored; an empty table gives an empty result. Texts and pre-tokens of any length stream through.
     """
 
     def run(batches):
-        from array import array
-
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = encode_text(text, path)
-                decoder, out = TextDecoder(merge_list(path)), hashlib.sha256()
-                for at in range(0, len(ids), 4 * block):
-                    out.update(decoder.feed(array("I", ids[at : at + 4 * block])).encode())
-                out.update(decoder.finish().encode())
-                rows.append((doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), out.hexdigest()))
+            rows = [(doc_id, *digests(text, path, block)) for doc_id, text in zip(batch["doc_id"], batch["text"])]
             yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

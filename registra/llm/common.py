@@ -47,12 +47,13 @@ def _shuffles_end_with_query(spark: SparkSession):
 _working: ContextVar[list | None] = ContextVar("working", default=None)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors."""
+def materialize(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write a table to the shared folder, parted ``by`` columns, and read it again: cuts the lineage and survives lost
+    executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/registra/{label}-{uuid.uuid4().hex}"
     with _shuffles_end_with_query(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     if (tables := _working.get()) is not None:
         tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -60,9 +61,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Remove tables made by materialize() that ``df`` reads and no later plan does."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/registra/" in path:
-            _delete(df.sparkSession, path)
+    for path in {m.group() for f in df.inputFiles() if (m := re.match(r".*/registra/[^/]+", f))}:
+        _delete(df.sparkSession, path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

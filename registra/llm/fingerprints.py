@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-EXACT, SIGNED, STRETCH = 8, 128, 48
+EXACT, SIGNED, STRETCH, MASK = 8, 128, 48, (1 << 32) - 1
+#: Ranges that one set of quantiles makes; beyond, each of them is parted again.
+MOST_RANGES = 4096
 
 
 def paragraphs(text: Column) -> Column:
@@ -25,7 +27,7 @@ def paragraphs(text: Column) -> Column:
 
 def _lanes() -> list[Column]:
     """Sums over rows (paragraph, stretch, lead): lead marks a paragraph's first stretch."""
-    out, low = [], F.lit((1 << 32) - 1)
+    out, low = [], F.lit(MASK)
     for i in range(EXACT // 2):
         h = F.when(F.col("lead"), F.xxhash64("paragraph", F.lit(i + 1)))
         out += [F.sum(h.bitwiseAND(low)).alias(f"e{2 * i}"), F.sum(F.shiftrightunsigned(h, 32)).alias(f"e{2 * i + 1}")]
@@ -51,19 +53,38 @@ def add_vectors(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
         *[F.xxhash64(piece, F.lit(101 + i)).alias(f"h{i}") for i in range(SIGNED // 64)],
     )
     sums = hashed.groupBy(*keys).agg(*_lanes())
-    exact = F.array(*[F.col(f"e{i}").bitwiseAND(F.lit((1 << 32) - 1)) for i in range(EXACT)])
-    return sums.select(*keys, exact.alias("exact"), F.array(*[F.col(f"s{j}") for j in range(SIGNED)]).alias("signed"))
+    exact = F.array(*[F.col(f"e{i}").bitwiseAND(F.lit(MASK)) for i in range(EXACT)])
+    return sums.select(*keys, exact.alias("exact"), _wrapped(F.array(*[F.col(f"s{j}") for j in range(SIGNED)])).alias("signed"))
+
+
+def as_text(exact: Column, signed: Column) -> Column:
+    """All lanes modulo 2^32, the exact ones first, as base64 of big-endian 32-bit integers."""
+    digits = F.transform(F.concat(exact, signed), lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(MASK))), 8, "0"))
+    return F.base64(F.unhex(F.array_join(digits, "")))
+
+
+def lanes_of(fingerprint: Column) -> Column:
+    """The lanes of a fingerprint, from 0 to 2^32 - 1."""
+    read = F.transform(F.array(F.hex(F.unbase64(fingerprint))), lambda digits: F.transform(
+        F.sequence(F.lit(0), F.lit(EXACT + SIGNED - 1)), lambda i: F.conv(F.substring(digits, 8 * i + 1, F.lit(8)), 16, 10).cast("long")
+    ))
+    return F.get(read, F.lit(0))
 
 
 def combine(a: Column, b: Column, take_away: bool = False) -> Column:
-    """Exact lanes of two multisets put together, or of the first without the second."""
-    return F.zip_with(a, b, lambda x, y: (x - y if take_away else x + y).bitwiseAND(F.lit((1 << 32) - 1)))
+    """The fingerprint of the paragraphs of two texts put together, or of the first's without the second's."""
+    return as_text(F.zip_with(lanes_of(a), lanes_of(b), lambda x, y: x - y if take_away else x + y), F.expr("array()").cast("array<bigint>"))
 
 
-def as_text(exact: Column, signed: Column) -> Column:
-    """256 exact bits in hexadecimal, then 64 bits that stand for the signed lanes modulo 2^16."""
-    lanes = F.array_join(F.transform(exact, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
-    return F.concat(lanes, F.lpad(F.lower(F.hex(F.xxhash64(F.transform(signed, lambda x: F.pmod(x, F.lit(65536)))))), 16, "0"))
+def _wrapped(signed: Column) -> Column:
+    """Signed lanes as fingerprints hold them: modulo 2^32, from -2^31."""
+    return F.transform(signed, lambda x: (x + (1 << 31)).bitwiseAND(F.lit(MASK)) - (1 << 31))
+
+
+def likeness_of(a: Column, b: Column) -> Column:
+    """likeness() of the texts of two fingerprints, from these alone."""
+    signed = lambda c: _wrapped(F.slice(lanes_of(c), EXACT + 1, SIGNED))
+    return likeness(signed(a), signed(b))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -75,17 +96,37 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint) of each text. Null texts count as empty; repeated rows give repeated results; other
-    columns are ignored; an empty table gives an empty result."""
+    """(doc_id, fingerprint) of each text. Null texts count as empty; repeated rows give repeated results; rows
+    without a doc_id keep a null one; other columns are ignored; an empty table gives an empty result."""
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     return add_vectors(rows, ["doc_id", "row"], "text").select("doc_id", as_text(F.col("exact"), F.col("signed")).alias("fingerprint"))
 
 
-def _dealt(rows: DataFrame, key: str, size: int) -> tuple[DataFrame, int]:
-    """``rows`` with column ``bucket``: ranges of ``key`` that hold about ``size`` rows each."""
-    n, low, high = rows.agg(F.count(key), F.min(key), F.max(key)).first()
-    width = max(1, ((high or 0) - (low or 0) + 1) * size // max(1, n))
-    return rows.withColumn("bucket", F.expr(f"({key} - ({low or 0}L)) div {width}L")), n
+def _range(key: str, cuts: str) -> Column:
+    """Number of the sorted ``cuts`` below ``key``, by halving."""
+    steps = ", ".join(str(1 << i) for i in reversed(range(MOST_RANGES.bit_length())))
+    return F.expr(f"aggregate(array({steps}), 0, (at, step) -> if(coalesce(get({cuts}, at + step - 1) < {key}, false), at + step, at))")
+
+
+def _dealt(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """``rows`` with column ``bucket``: ranges of ``key`` that hold about ``size`` rows each, whatever its values.
+
+    Quantiles bound the ranges, at most 4,096 of all rows, and where more are wanted as many of each such range. They
+    are written down, so that every plan that reads them deals alike. Equal keys share a range.
+    """
+    wanted = max(1, -(-rows.count() // size))
+
+    def quantiles(n: int) -> Column:
+        return F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], 100 * MOST_RANGES)
+
+    cuts = rows.agg(quantiles(min(wanted, MOST_RANGES)).alias("cuts")).withColumn("one", F.lit(0))
+    cuts = common.materialize(cuts, "cuts")
+    dealt = rows.withColumn("one", F.lit(0)).join(F.broadcast(cuts), "one").withColumn("bucket", _range(key, "cuts").cast("long")).drop("one", "cuts")
+    if wanted > MOST_RANGES:
+        finer = dealt.groupBy("bucket").agg(quantiles(min(MOST_RANGES, -(-wanted // MOST_RANGES))).alias("cuts"))
+        dealt = dealt.join(F.broadcast(common.materialize(finer, "cuts")), "bucket")
+        dealt = dealt.withColumn("bucket", F.col("bucket") * MOST_RANGES + _range(key, "cuts")).drop("cuts")
+    return dealt
 
 
 def following(ids: DataFrame, size: int = 1024) -> DataFrame:
@@ -93,11 +134,13 @@ def following(ids: DataFrame, size: int = 1024) -> DataFrame:
 
     Within ranges of ids by a window, across ranges by the same on one id for each range.
     """
-    if (n := ids.count()) <= 4 * size:
+    if ids.count() <= 4 * size:
         down = W.orderBy(F.desc("doc_id"))
         first = ids.agg(F.max("doc_id").alias("top"))
-        return ids.select("doc_id", F.lead("doc_id").over(down).alias("next_id")).join(F.broadcast(first)).select("doc_id", F.coalesce("next_id", "top").alias("next_id"))
-    dealt, _ = _dealt(ids, "doc_id", size)
+        led = ids.select("doc_id", F.lead("doc_id").over(down).alias("next_id"), F.lit(0).alias("one"))
+        led = led.join(F.broadcast(first.withColumn("one", F.lit(0))), "one")
+        return led.select("doc_id", F.coalesce("next_id", "top").alias("next_id"))
+    dealt = _dealt(ids, "doc_id", size)
     tops = common.materialize(dealt.groupBy("bucket").agg(F.max("doc_id").alias("doc_id")).select("doc_id", "bucket"), "tops")
     across = following(tops.select("doc_id"), size).join(tops, "doc_id").select("bucket", F.col("next_id").alias("across"))
     down = W.partitionBy("bucket").orderBy(F.desc("doc_id"))
@@ -111,7 +154,7 @@ def with_next_text(docs: DataFrame, size: int = 128) -> DataFrame:
     Rows are shuffled once, by ranges of ids. Each range also gets, marked ``end``, the row that follows its last.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt, _ = _dealt(rows, "doc_id", size)
+    dealt = _dealt(rows, "doc_id", size)
     tops = common.materialize(dealt.groupBy("bucket").agg(F.max("doc_id").alias("doc_id")), "tops")
     after = following(tops.select("doc_id")).join(tops, "doc_id").select("bucket", F.col("next_id").alias("doc_id"))
     after = common.materialize(after, "after")

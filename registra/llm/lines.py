@@ -84,8 +84,8 @@ def _may(x: str, y: str, percent: int) -> Column:
     """
     lanes, mask = WORDS * LANES, (1 << 21) - 1
     lane = lambda v, k: f"(shiftrightunsigned({v}, {21 * k}) & {mask})"
-    apart = lambda k: f"power(2 * ({lane('a', k)} - {lane('b', k)}) - ({x}.n - {y}.n), 2)"
-    total = f"aggregate(zip_with({x}.sketch, {y}.sketch, (a, b) -> {' + '.join(map(apart, range(LANES)))}), 0D, (s, v) -> s + v)"
+    apart = ", ".join(f"2 * ({lane('a', k)} - {lane('b', k)}) - ({x}.n - {y}.n)" for k in range(LANES))
+    total = f"aggregate(flatten(zip_with({x}.sketch, {y}.sketch, (a, b) -> array({apart}))), 0D, (s, d) -> s + d * d)"
     share = (100 - percent) / (100 + percent) * lanes * (1 + DEVIATIONS * (2 / lanes) ** 0.5)
     close = F.expr(f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)")
     return close & F.expr(f"coalesce({total} <= {share} * ({x}.n + {y}.n), true)")
@@ -132,7 +132,7 @@ def _settled(rows: DataFrame, items: DataFrame, known: DataFrame, width: int, pe
     rows = common.materialize(rows.select("band", "id", "component", "bands", "line", "n", "sketch"), "apart")
     once = F.expr("x.band = y.band AND x.id < y.id AND x.component != y.component")
     first = F.expr("get(array_intersect(x.bands, y.bands), 0) = x.band")
-    rest = rows.alias("x").join(rows.alias("y"), once & _may("x", "y", percent) & first & _linked("x", "y", width, percent))
+    rest = rows.alias("x").join(rows.alias("y"), once & first & _may("x", "y", percent) & _linked("x", "y", width, percent))
     rest = common.materialize(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "links")
     for used in (pairs, rows):
         common.discard(used)
