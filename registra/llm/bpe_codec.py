@@ -8,7 +8,6 @@ from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import common
 from .bpe import TextDecoder, Units, UnitTable, as_bytes, blocks, merge_list
@@ -61,7 +60,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [np.frombuffer(encode_text(t, path), "<u4").astype("int32") for t in batch["text"]]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<int>")
+    return common.by_row(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -75,7 +74,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 texts.append(decoder.feed(() if ids is None else ids) + decoder.finish())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text": texts})
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, text string")
+    return common.by_row(encoded.select("doc_id", "ids"), run, "doc_id long, text string")
 
 
 def digests(text: str | None, path: str, block: int = 8_192) -> tuple[int, str, str]:
@@ -103,7 +102,7 @@ def codec_digests(docs: DataFrame, path: str, block: int = 8_192) -> DataFrame:
             rows = [(doc_id, *digests(text, path, block)) for doc_id, text in zip(batch["doc_id"], batch["text"])]
             yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return common.by_row(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,6 +97,14 @@ def written(label: str):
     return wrap
 
 
+def by_row(rows: DataFrame, run, schema: str) -> DataFrame:
+    """``rows``.mapInPandas(run, schema), where ``doc_id`` (a long) passes as text, and back: with a null among them
+    pandas would make floats of whole numbers, and round ids of 64 bits."""
+    as_text = rows.withColumn("doc_id", F.col("doc_id").cast("long").cast("string"))
+    out = as_text.mapInPandas(run, schema.replace("doc_id long", "doc_id string"))
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text with A-Z in lower case; none for a null text."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

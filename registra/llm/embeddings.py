@@ -215,16 +215,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, tile: int = 102
     as components_by_bands() says; links are then counted exactly within each component.
 
     A vector that is null, empty, all zero, or has a null or non-finite component is linked with nothing; vectors of
-    different lengths are not linked. Rows that share a vec_id count as one in components and are returned once
+    different lengths are not linked. So is one without a vec_id, whose component is null. Rows that share a vec_id count as one in components and are returned once
     each. Other columns, labels too, are ignored; an empty table gives an empty result.
     """
     e = F.col("v")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = (F.size(e) > 0) & finite & F.exists(e, lambda x: x != 0)
-    key = F.when(F.coalesce(good, F.lit(False)), F.concat_ws(" ", F.hex(F.xxhash64(e)), F.hex(F.xxhash64(F.lit(1), e))))
+    key = F.when(F.coalesce(good, F.lit(False)) & F.col("vec_id").isNotNull(), F.concat_ws(" ", F.hex(F.xxhash64(e)), F.hex(F.xxhash64(F.lit(1), e))))
     rows = rows.withColumn("key", F.coalesce(key, F.concat(F.lit("alone "), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))))
-    rows = common.materialize(rows.withColumn("good", key.isNotNull()), "vectors")
+    rows = common.materialize(rows.withColumn("good", key.isNotNull() & F.col("vec_id").isNotNull()), "vectors")
     # the vector comes last: the smallest id decides, equal keys mean equal vectors
     classes = rows.where("good").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.any_value("v").alias("v"))
     classes = common.materialize(classes, "classes")
@@ -240,7 +240,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, tile: int = 102
     known = known.select("key", F.coalesce("component", "id").alias("c"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"))
     out = rows.select("vec_id", "key").join(known, "key", "left")
     component = F.coalesce("c", "vec_id")
-    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (component == F.col("vec_id")).alias("kept"))
+    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
 
 
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,7 @@ def features(docs: DataFrame, width: int) -> DataFrame:
                 rows.append((doc_id, len(found), xxhash.xxh3_128_hexdigest(found.tobytes()), band.view(np.int64), packed))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "key", "bands", "signature"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, FEATURES)
+    return common.by_row(docs.select("doc_id", "text"), run, FEATURES)
 
 
 def likely(a: Column, b: Column, threshold: float) -> Column:
@@ -88,7 +88,8 @@ def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, per
     pairs = pairs.join(of("b"), "b").join(of("a"), "a").where(close & likely(F.col("s_a"), F.col("s_b"), percent / 100))
     pairs = common.materialize(pairs.select("a", "b"), "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = common.materialize(docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi"), "texts")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
+    texts = common.materialize(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
 
     def run(batches):
@@ -177,11 +178,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     probability 0.99994, and more similar ones more surely.
 
     Documents without words (null, empty or blank texts) have n_shingles 0 and are components of their own. Rows
-    that share a doc_id count as one document in components and are returned once each; other columns are ignored;
-    an empty table gives an empty result.
+    that share a doc_id count as one document in components and are returned once each; where their texts differ, the
+    least of them is compared. Rows without a doc_id are components of their own, with a null one. Other columns are
+    ignored; an empty table gives an empty result.
     """
     table = common.materialize(features(docs, width), "features")
-    reps = table.where("n_shingles > 0").groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "signature")).alias("r"))
+    reps = table.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "signature")).alias("r"))
     reps = common.materialize(reps.select("key", F.col("r.doc_id").alias("id"), "r.n_shingles", "r.bands", "r.signature"), "representatives")
 
     items = reps.select("id", "bands")
@@ -190,8 +192,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     known = reps.select("key", "id").join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     out = table.select("doc_id", "n_shingles", "key").join(known, "key", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

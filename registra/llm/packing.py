@@ -9,7 +9,6 @@ from collections import defaultdict
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import common
 from .bpe import Units, UnitTable
@@ -142,7 +141,7 @@ def pack(docs: DataFrame, path: str, size: int = 1024, end_id: int = 0, wait: in
         packer.finish()
         yield _frame(rows)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, PIECES)
+    return common.by_row(docs.select("doc_id", "text"), run, PIECES)
 
 
 def _frame(rows: list) -> pd.DataFrame:

@@ -53,7 +53,7 @@ def described(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "x": [statistics(t) for t in batch["text"]]})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, x array<double>")
+    return common.by_row(docs.select("doc_id", "text"), run, "doc_id long, x array<double>")
 
 
 def _summed(rows: DataFrame, parts) -> dict[int, float]:
@@ -163,12 +163,14 @@ def score(rows: DataFrame, model: dict | None, threshold: float = 0.7) -> DataFr
             out["predicted"] = (out["score"] >= threshold).astype("int32")
             yield out
 
-    return rows.select("doc_id", "held_out", "x").mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+    return common.by_row(rows.select("doc_id", "held_out", "x"), run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = 0.7) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every text; empty and null texts have all statistics 0.
 
+    Calibration is isotonic over BINS fixed bins of the raw score.
+
     Learns from labels of documents whose crc32(doc_id as text) modulo ``folds`` is not ``held_out``; null labels
     teach nothing, and several labels of one document count as their mean. Repeated rows are scored each; other
     columns are ignored; without labels every score is 0.5; an empty table gives an empty result.

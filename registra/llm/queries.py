@@ -1,9 +1,17 @@
-"""The registered queries of this subpackage, and their SQL where SQL can express them."""
+"""The registered queries of this subpackage, and their SQL where SQL can express them.
+
+Near-duplicate documents and vectors are SQL as a whole, by an exact join of all pairs that share something. Of the
+others SQL tells single columns, registered as queries of their own; tokenizers, learned models and hashes of lanes
+are held against plain Python in tests/llm.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+
+from . import common, fingerprints
 from .bpe_codec import op3_bpe_codec
 from .embeddings import op6_embedding_near_dedup
 from .fingerprints import op5_fingerprints
@@ -15,5 +23,60 @@ from .quality import op7_quality_classifier
 from .substrings import op8_substring_dedup
 from .token_counts import op9_token_counts
 
-QUERIES: dict[str, Callable] = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_bpe_codec, op4_minhash_near_dedup, op5_fingerprints, op6_embedding_near_dedup, op7_quality_classifier, op8_substring_dedup, op9_token_counts, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5_fingerprints that SQL can tell."""
+    return fingerprints.edited_fingerprints(common.table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256")
+
+
+def text_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column of op9_token_counts that SQL can tell."""
+    return op9_token_counts(spark, sf_dir).select("doc_id", "n_bytes")
+
+
+_OPERATORS = (
+    op1_line_dedup, op2_lm_scoring, op3_bpe_codec, op4_minhash_near_dedup, op5_fingerprints, op6_embedding_near_dedup,
+    op7_quality_classifier, op8_substring_dedup, op9_token_counts, op10_packing, edited_texts, text_bytes,
+)
+QUERIES: dict[str, Callable] = {f.__name__: f for f in _OPERATORS}
+
+#: Smallest id that links lead to, over ``ids`` (id) and ``links`` (a, b) in both directions.
+_COMPONENTS = """reach AS (SELECT id, id AS c FROM ids UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.id),
+ components AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": rf"""WITH RECURSIVE o AS (
+      SELECT doc_id, i - 1 AS place, ls[i] AS line FROM (
+        SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))),
+     g AS (SELECT line, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM o WHERE regexp_matches(line, '[^\x20\x09-\x0D]'))),
+     s AS (SELECT DISTINCT id, substr(line, i, 8) AS sh FROM (SELECT id, line, unnest(generate_series(1, greatest(1, length(line) - 7))) AS i FROM g)),
+     n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+     met AS (SELECT x.id AS a, y.id AS b, count(*) AS m FROM s x JOIN s y ON x.sh = y.sh AND x.id < y.id GROUP BY ALL),
+     pairs AS (SELECT a, b FROM met JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE 100 * m >= 80 * (p.n + q.n - m)),
+     links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs), ids AS (SELECT id FROM g), {_COMPONENTS},
+     places AS (SELECT o.*, row_number() OVER (PARTITION BY component_id ORDER BY doc_id, place) = 1 OR component_id IS NULL AS kept
+      FROM o LEFT JOIN g USING (line) LEFT JOIN components USING (id))
+    SELECT d.doc_id, coalesce(p.n_lines, 0) AS n_lines, coalesce(p.n_kept, 0) AS n_kept, CASE WHEN d.text IS NOT NULL THEN coalesce(p.kept_text, '') END AS text
+    FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (kept) AS n_kept, string_agg(line, chr(10) ORDER BY place) FILTER (kept) AS kept_text FROM places GROUP BY doc_id) p USING (doc_id)""",
+    "op4_minhash_near_dedup": rf"""WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     s AS (SELECT DISTINCT doc_id, sh FROM (
+      SELECT doc_id, ws[i] || ' ' || ws[i + 1] AS sh FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 1)) AS i FROM w WHERE len(ws) > 1)
+      UNION ALL SELECT doc_id, ws[1] FROM w WHERE len(ws) = 1)),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL),
+     pairs AS (SELECT a, b FROM met JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * m >= 80 * (p.n + q.n - m)),
+     links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs), ids AS (SELECT doc_id AS id FROM documents), {_COMPONENTS}
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept
+    FROM documents d LEFT JOIN n USING (doc_id) JOIN components ON id = d.doc_id""",
+    "op6_embedding_near_dedup": f"""WITH RECURSIVE v AS (
+      SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+     good AS (SELECT id, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+     links AS (SELECT x.id AS a, y.id AS b FROM good x JOIN good y ON x.id <> y.id AND len(x.e) = len(y.e) WHERE list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.95),
+     ids AS (SELECT id FROM v), {_COMPONENTS}
+    SELECT id AS vec_id, coalesce(k, 0) AS n_links, component_id, component_id = id AS kept FROM components LEFT JOIN (SELECT a AS id, count(*) AS k FROM links GROUP BY a) USING (id)""",
+    "edited_texts": """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+     n AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS nt FROM d)
+    SELECT doc_id, length(t) AS n_chars, sha256(substr(t, 1, length(t) - length(t) // 2) || substr(nt, 1, length(t) // 2)) AS edited_sha256 FROM n""",
+    "text_bytes": "SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes FROM documents",
+}

@@ -82,7 +82,8 @@ def frequent_units(texts: DataFrame, path: str, most: int = 32_768, of_a_task: i
     """Token lengths of the units that are most frequent in all texts, at most ``most`` of them.
 
     Each task counts the units of its rows, thinning its counts as it goes to a fixed size, and passes on its
-    ``of_a_task`` largest; only these sums are merged. The table bounds memory and sets speed, never a result.
+    ``of_a_task`` largest; only these sums are shuffled and merged. The table bounds memory and sets speed, never a
+    result.
     """
     room, special = 16 * of_a_task, specials(path)
 
@@ -115,7 +116,8 @@ def frequent_units(texts: DataFrame, path: str, most: int = 32_768, of_a_task: i
 def token_counts(docs: DataFrame, path: str, limit: int = 1024, most_frequent: int = 32_768) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of each whole text; a null or empty text has 0 of either.
 
-    Rows stay where they are: no pre-token is shuffled. Repeated rows give repeated results, other columns of
+    Rows stay where they are: but for the sums of frequent_units(), of a fixed number for each task, no pre-token is
+    shuffled. Rows without a doc_id are counted, too. Repeated rows give repeated results, other columns of
     ``docs`` are ignored, an empty table gives an empty result, and texts of any length are counted whole.
     """
     spark, texts = docs.sparkSession, docs.select("doc_id", "text")
@@ -140,7 +142,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, most_frequent: i
             n = [sum(sum(known.values(spaced, parts)) for spaced, parts in cut.segments(t or "")) for t in batch["text"]]
             yield _counted(batch, n, limit)
 
-    return texts.mapInPandas(count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return common.by_row(texts, count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def _counted(batch: pd.DataFrame, n: list[int], limit: int) -> pd.DataFrame:

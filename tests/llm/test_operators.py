@@ -594,6 +594,45 @@ def test_attention_is_a_distribution_and_learns():
     assert np.log(attention.probabilities(told, classes, wins)).sum() > before + 1000
 
 
+ODD = "row string, rare string, bucket string, place string, end string, at string, line string, key string, word string, class string, d string, n string, h string"
+WIDE = [-(1 << 63), (1 << 62) + 1, (1 << 62) + 3, -5, 0, 7, 7, None, None]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Wide and negative ids, one shared by two rows, two missing, and columns named as operators name their own."""
+    texts = [BASE, BASE, prose(60), "short", None, PASSAGE + "\r\n" + PASSAGE, "other text of the same id", BASE, ""]
+    rows = [(i, t, "en", "s", 1, *["c"] * 13) for i, t in zip(WIDE, texts)]
+    return spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {ODD}")
+
+
+def test_odd_tables(spark, odd, none):
+    from collections import Counter as C
+
+    labels = spark.createDataFrame([(0, 1), (7, 0), (None, 1)], "doc_id long, quality int")
+    every = {
+        "codec": bpe_codec.codec_digests(odd, PATH), "counts": token_counts.token_counts(odd, PATH), "minhash": minhash.near_duplicates(odd),
+        "quality": quality.quality(odd, labels), "model": language_model.scores(odd, PATH, rounds=2), "prints": fingerprints.fingerprints(odd),
+        "lines": lines.dedup(odd), "substrings": substrings.dedup(odd),
+    }
+    found = {k: df.collect() for k, df in every.items()}
+    for k, rows in found.items():
+        assert C(r.doc_id for r in rows) == C(WIDE), k
+    assert {r.doc_id for r in packing.pack(odd, PATH).collect()} == set(WIDE)
+    assert C(r.doc_id for r in fingerprints.edited_fingerprints(odd).collect()) == C(i for i in WIDE if i is not None)
+    component = {r.doc_id: r.component_id for r in found["minhash"]}
+    assert component[WIDE[1]] == WIDE[0] and component[None] is None
+    gone = {r.doc_id: r.n_lines - r.n_kept for r in found["lines"]}
+    assert gone[WIDE[1]] >= len(BASE.split("\n")) - 1 and gone[WIDE[0]] < 3
+    assert {r.n_removed > 0 for r in found["substrings"] if r.doc_id == WIDE[1]} == {True}
+    assert all(set(odd.columns) <= set(every[k].columns) for k in ("lines", "substrings"))
+    empty = labels.limit(0)
+    assert quality.quality(none, empty).count() == packing.pack(none, PATH).count() == bpe_codec.codec_digests(none, PATH).count() == 0
+    vectors = [(None, [1.0, 0.0]), (None, [1.0, 0.0]), (-(1 << 63), [1.0, 0.0]), (5, [1.0, 0.01]), (5, [0.0, 1.0]), (6, None)]
+    links = {r.vec_id: r for r in embeddings.near_duplicates(spark.createDataFrame(vectors, "vec_id long, embedding array<double>")).collect()}
+    assert links[None].n_links == 0 and links[None].component_id is None and links[5].component_id == -(1 << 63)
+
+
 def test_pipeline(spark, docs, tmp_path):
     corpus = pytest.importorskip("corpus_pipeline")
     docs = docs.select(*corpus.COLUMNS)
