@@ -331,8 +331,10 @@ def test_substrings(docs, none):
     assert substrings.dedup(none).count() == 0
 
 
-def test_later_variants_meet(spark):
+@pytest.mark.parametrize("large", [64, 2])
+def test_later_variants_meet(spark, monkeypatch, large):
     """A near-copy is found though older documents hold variants that are near to neither, and within one document."""
+    monkeypatch.setattr(substrings, "LARGE", large)
     r, rows = random.Random(8), []
     filler = lambda n: [f"f{r.randrange(10**9)}" for _ in range(n)]
     for case in range(12):
@@ -350,6 +352,24 @@ def test_later_variants_meet(spark):
     assert all(x.start >= 160 for i, spans in found.items() if i % 100 == 50 for x in spans)
 
 
+def test_fragments_before_copies(spark):
+    """Two near-copies find each other though an older document holds shorter fragments of them."""
+    r, rows = random.Random(9), []
+    for case in range(60):
+        passage = [f"p{case}w{i}" for i in range(120)]
+        other = list(passage)
+        for at in r.sample(range(120), 2):
+            other[at] = f"x{r.randrange(10**9)}"
+        noise = lambda n: [f"n{r.randrange(10**9)}" for _ in range(n)]
+        rows += [
+            (3 * case, " ".join([*noise(30), *passage[:45], *noise(30), *passage[70:115], *noise(30)])),
+            (3 * case + 1, " ".join([*noise(20), *passage, *noise(20)])), (3 * case + 2, " ".join([*noise(25), *other, *noise(15)])),
+        ]
+    found = {x.doc_id: x.spans for x in substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    whole = [i for i, spans in found.items() if i % 3 == 2 and sum(x.end - x.start for x in spans) >= 100]
+    assert len(whole) >= 57 and not any(i % 3 == 0 for i in found)
+
+
 def test_near_passages():
     a = [b"w%d" % i for i in range(80)]
     b = list(a)
