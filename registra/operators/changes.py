@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.exprs import flag_set
 
 
-def changes(changelog: DataFrame, track: Sequence[str] | None = None, registry: str | None = None, change_type: Sequence[str] | None = None, start=None, end=None, org_nr: Sequence[str] | None = None) -> DataFrame:
+def changes(
+    changelog: DataFrame, track: Sequence[str] | None = None, registry: str | None = None,
+    change_type: Sequence[str] | None = None, start=None, end=None, org_nr: Sequence[str] | None = None
+) -> DataFrame:
     """Changelog rows by field (rows without a field stay), registry, kind, sync_date and organisation."""
     out = changelog
     if start is not None:
@@ -39,7 +42,10 @@ def change_totals(changelog: DataFrame) -> DataFrame:
     return changelog.groupBy("change_type").agg(F.count_distinct("org_nr").alias("n_entities"), F.count("*").alias("n"))
 
 
-def annotations(state: DataFrame, org_nr: Sequence[str] | None = None, infotype: Sequence[str] | None = None, infotypes: DataFrame | None = None, cleared: DataFrame | None = None) -> DataFrame:
+def annotations(
+    state: DataFrame, org_nr: Sequence[str] | None = None, infotype: Sequence[str] | None = None,
+    infotypes: DataFrame | None = None, cleared: DataFrame | None = None
+) -> DataFrame:
     """Annotations of entities (F4): with ``infotypes`` infotype_desc after infotype, with ``cleared`` (a changelog)
     a column active and the organisations whose annotations were cleared, active false."""
     out, columns = state, list(state.columns)

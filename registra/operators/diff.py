@@ -80,7 +80,10 @@ def backfill_roles(roles: DataFrame) -> DataFrame:
     return roles.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else roles
 
 
-def role_changes(old: DataFrame | None, new: DataFrame, timestamp: str, update_id: int | None = None, columns: Sequence[str] = schema.ROLE_VALUES, order: Sequence[str] = ("ordering",)) -> DataFrame:
+def role_changes(
+    old: DataFrame | None, new: DataFrame, timestamp: str, update_id: int | None = None,
+    columns: Sequence[str] = schema.ROLE_VALUES, order: Sequence[str] = ("ordering",)
+) -> DataFrame:
     """Role differences as changelog rows (D2-D4, J8), with role_key so that a change tells whose role it is.
 
     Entries and exits give a row for each value there is, changes one for each value that differs. Of rows with one

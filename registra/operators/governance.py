@@ -70,7 +70,11 @@ def _between(c: Column, start, end) -> Column:
     return ok
 
 
-def flows(entities: DataFrame, updates: DataFrame | None = None, by: Sequence[str] = (), start=None, end=None, legal_form: Sequence[str] | None = None, dedupe: bool = False, date: str = "registration_date", order: Sequence[str] = ("registration_date",)) -> DataFrame:
+def flows(
+    entities: DataFrame, updates: DataFrame | None = None, by: Sequence[str] = (), start=None, end=None,
+    legal_form: Sequence[str] | None = None, dedupe: bool = False, date: str = "registration_date",
+    order: Sequence[str] = ("registration_date",)
+) -> DataFrame:
     """Entries, exits and net change for each day and group (A3, A4).
 
     Entries are registrations and the feed's insertions, exits its deletions. The feed's rows take their groups from

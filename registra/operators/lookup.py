@@ -23,7 +23,12 @@ def entity(org_nr: str, main: DataFrame, sub: DataFrame, deleted: DataFrame | No
     return out.orderBy("_rank").limit(1).drop("_rank")
 
 
-def search(entities: DataFrame, name: str | None = None, legal_form: Sequence[str] | None = None, municipality_code: Sequence[str] | None = None, nace_code: str | None = None, min_employees: int | None = None, max_employees: int | None = None, bankrupt: bool | None = None, parent_org_nr: str | None = None, max_results: int = 200, municipality_column: str = "municipality_code") -> tuple[DataFrame, DataFrame]:
+def search(
+    entities: DataFrame, name: str | None = None, legal_form: Sequence[str] | None = None,
+    municipality_code: Sequence[str] | None = None, nace_code: str | None = None, min_employees: int | None = None,
+    max_employees: int | None = None, bankrupt: bool | None = None, parent_org_nr: str | None = None,
+    max_results: int = 200, municipality_column: str = "municipality_code"
+) -> tuple[DataFrame, DataFrame]:
     """(the first ``max_results`` matches by org_nr, the number of all matches as one row total_matches)."""
     out = entities
     if name is not None:

@@ -76,7 +76,10 @@ AGGREGATES: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def series(snapshots: DataFrame, mapping: DataFrame, values: Sequence[str] = (), functions: Sequence[str] | dict = ("total",), by: Sequence[str] = ()) -> DataFrame:
+def series(
+    snapshots: DataFrame, mapping: DataFrame, values: Sequence[str] = (),
+    functions: Sequence[str] | dict = ("total",), by: Sequence[str] = ()
+) -> DataFrame:
     """Aggregates for each period and group (A1): rows if no ``values``, else every value by every function.
 
     Functions are names in AGGREGATES, or a mapping from names to functions of a Column (or grouped pandas UDFs).
@@ -88,7 +91,9 @@ def series(snapshots: DataFrame, mapping: DataFrame, values: Sequence[str] = (),
     return rows.groupBy("period", *by).agg(*out)
 
 
-def to_time_series(df: DataFrame, keys: Sequence[str] = ("org_nr",), index: str | None = None, frequency: str = "irregular") -> tuple[DataFrame, TimeMeta]:
+def to_time_series(
+    df: DataFrame, keys: Sequence[str] = ("org_nr",), index: str | None = None, frequency: str = "irregular"
+) -> tuple[DataFrame, TimeMeta]:
     """``df`` with its index as a date, sorted within keys, and its description (E5); fails if key and index repeat."""
     index = index or ("snapshot_date" if "snapshot_date" in df.columns else "period")
     out = df.withColumn(index, parse_period(index))

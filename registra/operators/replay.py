@@ -41,7 +41,10 @@ def _target(field: Column, columns: Sequence[str]) -> Column:
     return F.coalesce(F.try_element_at(found, low), F.try_element_at(found, snake))
 
 
-def lived(base: DataFrame, updates: DataFrame, key: str = "org_nr", order: Sequence[str] = ("timestamp", "update_id"), phase_order: bool = False) -> DataFrame:
+def lived(
+    base: DataFrame, updates: DataFrame, key: str = "org_nr", order: Sequence[str] = ("timestamp", "update_id"),
+    phase_order: bool = False
+) -> DataFrame:
     """``updates`` with alive_before, effective, epoch, and in_base.
 
     Insertions make an entity, deletions end it, patches reach a living one. ``epoch`` counts an entity's effective
@@ -75,7 +78,10 @@ def counters(events: DataFrame) -> DataFrame:
     return events.agg(count(schema.INSERTED).alias("n_insert"), count(schema.CHANGED).alias("n_update"), count(schema.DELETED).alias("n_delete"))
 
 
-def replay(base: DataFrame, updates: DataFrame, target_date=None, key: str = "org_nr", inclusive_day: bool = False, columns: Sequence[str] | None = None, phase_order: bool = False) -> DataFrame:
+def replay(
+    base: DataFrame, updates: DataFrame, target_date=None, key: str = "org_nr", inclusive_day: bool = False,
+    columns: Sequence[str] | None = None, phase_order: bool = False
+) -> DataFrame:
     """The base table as it was at ``target_date`` (C1): one window by key, then the last patch of each field.
 
     Patches of an entity's last life count; base values only if it never ended. Values are cast to column types.
@@ -102,7 +108,10 @@ def replay(base: DataFrame, updates: DataFrame, target_date=None, key: str = "or
     return out.where(alive).select(key, *new)
 
 
-def change_rows(base: DataFrame, updates: DataFrame, key: str = "org_nr", registry: str = "enheter", order: Sequence[str] = ("timestamp", "update_id"), phase_order: bool = False) -> DataFrame:
+def change_rows(
+    base: DataFrame, updates: DataFrame, key: str = "org_nr", registry: str = "enheter",
+    order: Sequence[str] = ("timestamp", "update_id"), phase_order: bool = False
+) -> DataFrame:
     """Changelog rows that applying ``updates`` to ``base`` writes.
 
     Insertions give an entry and deletions an exit each, whether known or not. A patch gives a change with the value

@@ -94,7 +94,10 @@ class Store:
             return None
         return _typed(self.spark.read.parquet(found[-1][2]).withColumn("snapshot_date", F.lit(found[-1][0])))
 
-    def cleanup(self, kind: str, keep_n: int | None = None, max_age_days: int | None = None, today: datetime.date | None = None) -> list[str]:
+    def cleanup(
+        self, kind: str, keep_n: int | None = None, max_age_days: int | None = None,
+        today: datetime.date | None = None
+    ) -> list[str]:
         """Delete what retention_plan() names (K7)."""
         rows = retention_plan(self.listing(kind), keep_n, max_age_days, today or datetime.date.today()).where("remove").collect()
         for r in rows:
