@@ -76,21 +76,16 @@ def written(label: str):
     def wrap(f):
         @wraps(f)
         def call(*args, **kwargs):
-            mark = _working.set([])
-            df = None
+            own, outer = [], _working.get()
+            _working.set(own)
             try:
                 df = f(*args, **kwargs)
-                with_tables = _working.get()
-                _working.reset(mark)
-                mark = None
+                _working.set(outer)
                 return materialize(df, label)
             finally:
-                if mark is not None:
-                    with_tables = _working.get()
-                    _working.reset(mark)
-                spark = df.sparkSession if df is not None else SparkSession.getActiveSession()
-                for path in with_tables:
-                    _delete(spark, path)
+                _working.set(outer)
+                for path in own:
+                    _delete(SparkSession.active(), path)
 
         return call
 

@@ -130,7 +130,8 @@ def _dealt(rows: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def following(ids: DataFrame, size: int = 1024) -> DataFrame:
-    """(doc_id, next_id) for distinct ids in descending order; the last is followed by the first.
+    """(doc_id, next_id) for distinct ids, none null, in descending order; the last is followed by the first, and a
+    single id by itself. An empty table gives an empty result.
 
     Within ranges of ids by a window, across ranges by the same on one id for each range.
     """

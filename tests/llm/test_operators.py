@@ -628,6 +628,27 @@ def odd(spark):
     return spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {ODD}")
 
 
+def test_working_tables_go_with_their_operator(spark, docs, tmp_path):
+    """What an operator leaves in the shared folder is its result; on a cluster an unset folder is an error."""
+    before = spark.conf.get("spark.checkpoint.dir")
+    with pytest.raises(ValueError):
+        common.shared_dir(FakeCluster())
+    import os
+
+    folder = f"{before.removeprefix('file://')}/registra"
+    held = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    minhash.near_duplicates(docs).count()
+    assert [n.rpartition("-")[0] for n in set(os.listdir(folder)) - held] == ["components"]
+
+
+class FakeCluster:
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "spark://somewhere:7077"
+
+
 def test_odd_tables(spark, odd, none):
     from collections import Counter as C
 
@@ -667,4 +688,7 @@ def test_pipeline(spark, docs, tmp_path):
         assert now.columns == docs.columns
     left = {r.doc_id: r.text for r in now.collect()}
     assert 0 in left and 1 not in left and left[5] == TEXTS[5] and 6 in left and 7 in left
-    assert corpus.STAGES[-1][1](spark, now, str(tmp_path)).select("doc_id").distinct().count() == len(left)
+    packed = corpus.STAGES[-1][1](spark, now, str(tmp_path))
+    assert {r.doc_id for r in packed.collect()} == set(left)
+    whole = corpus.run(spark, str(tmp_path)).groupBy("doc_id").sum("length").collect()
+    assert sorted(whole) == sorted(packed.groupBy("doc_id").sum("length").collect())
