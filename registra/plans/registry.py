@@ -452,11 +452,11 @@ def board_network_edges(spark, sf):
 
 @register(
     """SELECT x.o AS org_a, y.o AS org_b, count(*) AS shared FROM h x JOIN h y ON x.p = y.p AND x.o < y.o GROUP BY ALL""", A.ROLES.format(0),
-    "h AS (SELECT DISTINCT concat('o:', org_nr) AS o, person_id AS p FROM roles WHERE person_id IS NOT NULL AND org_nr IN ('1', '2', '3', '4'))",
+    "h AS (SELECT DISTINCT concat('o:', org_nr) AS o, person_id AS p FROM roles WHERE person_id IS NOT NULL)",
 )
 def board_projection(spark, sf):
     """G8"""
-    return graph.projection(board_network_edges(spark, sf))
+    return graph.projection(graph.board_network(A.roles(spark, sf), _suppliers(spark, sf))[1])
 
 
 # flattening
