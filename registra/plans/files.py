@@ -235,10 +235,10 @@ def store_manifest(spark, sf):
     return _stored(spark, sf, "manifest").manifest().select("id", "type", "snapshot_date", "format", "record_count")
 
 
-@register(f"SELECT 'snapshots' AS part, 'enheter' AS kind, {len(A.SNAPSHOT_DATES)} AS entries, count(*) AS rows FROM snapshots UNION ALL SELECT 'changelog', NULL, 0, NULL", A.SNAPSHOTS)
+@register(f"SELECT 'snapshots' AS part, 'enheter' AS kind, {len(A.SNAPSHOT_DATES)} AS entries, count(*) AS rows FROM snapshots UNION ALL SELECT 'changelog', 'all', 0, 0", A.SNAPSHOTS)
 def store_status(spark, sf):
     """K10, K11"""
-    return _stored(spark, sf, "status").status_table().select("part", "kind", "entries", "rows")
+    return _stored(spark, sf, "status").status_table().select("part", F.coalesce("kind", F.lit("all")).alias("kind"), "entries", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 @register("SELECT \"timestamp\", org_nr, registry, change_type, field, value_to, update_id, sync_date FROM changelog WHERE sync_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'", A.CHANGELOG)
