@@ -331,10 +331,10 @@ def test_substrings(docs, none):
     assert substrings.dedup(none).count() == 0
 
 
-@pytest.mark.parametrize("most", [4096, 2])
-def test_later_variants_meet(spark, monkeypatch, most):
+@pytest.mark.parametrize("chunk", [4096, 3])
+def test_later_variants_meet(spark, monkeypatch, chunk):
     """A near-copy is found though older documents hold variants that are near to neither, and within one document."""
-    monkeypatch.setattr(substrings, "MOST", most)
+    monkeypatch.setattr(substrings, "CHUNK", chunk)
     r, rows = random.Random(8), []
     filler = lambda n: [f"f{r.randrange(10**9)}" for _ in range(n)]
     for case in range(12):
