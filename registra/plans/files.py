@@ -262,18 +262,23 @@ ALL_LIVED = """lived AS (SELECT *, CASE change_type WHEN 'Ny' THEN NOT before EL
  final AS (SELECT org_nr, max(epoch) AS last_epoch, arg_max(change_type <> 'Sletting', ("timestamp", update_id)) FILTER (effective) AS alive FROM epochs GROUP BY org_nr)"""
 
 
-def mirrored(spark: SparkSession, sf: str) -> Store:
-    """A mirror after two runs: the feed's first half by time, then the rest."""
-    store, pages = Store(spark, folder(spark, "mirror")), folder(spark, "feed")
+def _entity_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as the entity feed has them, and ``ts``."""
     feed = A.table(spark, sf, "events")
     patches = F.concat(
         F.lit('[{"op":"replace","path":"/navn","value":"'), "event_type", F.lit('"},{"op":"replace","path":"/antallAnsatte","value":'), F.coalesce(F.get_json_object("props", "$.k"), F.lit("null")), F.lit("}]")
     )
     kind = F.when(F.col("event_type") == "signup", "Ny").when(F.col("event_type") == "error", "Sletting").otherwise("Endring")
-    raw = feed.select(
+    return feed.select(
         F.col("event_id").alias("oppdateringsid"), F.col("user_id").cast("string").alias("organisasjonsnummer"), kind.alias("endringstype"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'.000Z'").alias("dato"), patches.alias("endringer"), "ts",
     )
+
+
+def mirrored(spark: SparkSession, sf: str) -> Store:
+    """A mirror after two runs: the feed's first half by time, then the rest."""
+    store, pages = Store(spark, folder(spark, "mirror")), folder(spark, "feed")
+    feed, raw = A.table(spark, sf, "events"), _entity_events(spark, sf)
     sync.bootstrap(store, "enheter", A.base(spark, sf))
     middle = feed.agg(F.expr("timestamp_micros(cast((unix_micros(cast(min(ts) as timestamp)) + unix_micros(cast(max(ts) as timestamp))) / 2 as bigint))").alias("t")).first().t
     # seconds are what the feed tells, so the halves part at a whole one
@@ -284,12 +289,21 @@ def mirrored(spark: SparkSession, sf: str) -> Store:
     return store
 
 
-@register(
-    """SELECT org_nr, CASE WHEN p.seen THEN p.name WHEN coalesce(last_epoch, 0) = 0 THEN b.name END AS name, CASE WHEN p.seen THEN p.employees WHEN coalesce(last_epoch, 0) = 0 THEN b.employees END AS employees
+#: The state that the whole feed leaves, and the changes that lead to it.
+_STATE = """SELECT org_nr, CASE WHEN p.seen THEN p.name WHEN coalesce(last_epoch, 0) = 0 THEN b.name END AS name, CASE WHEN p.seen THEN p.employees WHEN coalesce(last_epoch, 0) = 0 THEN b.employees END AS employees
     FROM base b FULL JOIN final USING (org_nr) LEFT JOIN (SELECT e.org_nr, true AS seen, arg_max(v_name, ("timestamp", update_id)) AS name, CAST(arg_max(v_k, ("timestamp", update_id)) AS INTEGER) AS employees
       FROM epochs e JOIN final f ON f.org_nr = e.org_nr AND epoch = last_epoch WHERE effective AND change_type <> 'Sletting' GROUP BY e.org_nr) p USING (org_nr)
-    WHERE coalesce(alive, b.org_nr IS NOT NULL)""", A.CDC.replace("ts AS \"timestamp\"", "date_trunc('second', ts) AS \"timestamp\""), ALL_LIVED
-)
+    WHERE coalesce(alive, b.org_nr IS NOT NULL)"""
+_WHOLE_SECONDS = A.CDC.replace("ts AS \"timestamp\"", "date_trunc('second', ts) AS \"timestamp\"")
+_CHANGES = """SELECT strftime("timestamp", '%Y-%m-%dT%H:%M:%S') AS "timestamp", org_nr, CASE change_type WHEN 'Ny' THEN 'entry' ELSE 'exit' END AS change_type, NULL AS field, NULL AS value_from, NULL AS value_to, update_id FROM epochs WHERE change_type <> 'Endring'
+      UNION ALL SELECT strftime("timestamp", '%Y-%m-%dT%H:%M:%S'), org_nr, 'change', field, value_from, value_to, update_id FROM (
+        SELECT *, v AS value_to, CASE WHEN row_number() OVER w = 1 THEN CASE WHEN epoch = 0 THEN origin END ELSE lag(v) OVER w END AS value_from FROM (
+          SELECT e.*, 'name' AS field, v_name AS v, b.name AS origin FROM epochs e LEFT JOIN base b USING (org_nr) WHERE effective AND change_type <> 'Sletting' UNION ALL
+          SELECT e.*, 'employees', v_k, CAST(b.employees AS VARCHAR) FROM epochs e LEFT JOIN base b USING (org_nr) WHERE effective AND change_type <> 'Sletting')
+        WINDOW w AS (PARTITION BY org_nr, field, epoch ORDER BY "timestamp", update_id)) WHERE change_type = 'Endring' AND value_from IS DISTINCT FROM value_to"""
+
+
+@register(_STATE, _WHOLE_SECONDS, ALL_LIVED)
 def mirror_state(spark, sf):
     """A stream of pages applied in two runs"""
     return mirrored(spark, sf).state("enheter").select("org_nr", "name", "employees")
@@ -310,6 +324,12 @@ def mirror_changelog(spark, sf):
     return mirrored(spark, sf).changelog().groupBy("change_type").agg(F.count("*").alias("n"))
 
 
+@register(_CHANGES, _WHOLE_SECONDS, ALL_LIVED)
+def mirror_changes(spark, sf):
+    """The changelog's rows, each batch's committed with its state"""
+    return mirrored(spark, sf).changelog().select("timestamp", "org_nr", "change_type", "field", "value_from", "value_to", "update_id")
+
+
 _AFFECTED = "CAST(org_nr AS INTEGER) % 2 = 0"
 
 
@@ -323,12 +343,58 @@ def mirror_roles(spark, sf):
     return store.state("roller").select("org_nr", "role_code", "person_id", "entity_org_nr", "ordering")
 
 
+@register(
+    f"""SELECT CASE WHEN CAST(org_nr AS BIGINT) % 2 = 0 THEN 'enheter' ELSE 'underenheter' END AS kind, org_nr, name, CAST(employees AS BIGINT) AS n FROM ({_STATE})
+    UNION ALL SELECT 'roller', org_nr, NULL, count(*) FROM (SELECT org_nr FROM roles0 WHERE NOT ({_AFFECTED}) UNION ALL SELECT org_nr FROM roles20 WHERE {_AFFECTED}) GROUP BY org_nr
+    UNION ALL SELECT 'paategninger', org_nr, NULL, count(*) FROM annotations WHERE org_nr NOT IN (SELECT org_nr FROM cdc WHERE change_type = 'Sletting') GROUP BY org_nr""",
+    _WHOLE_SECONDS, ALL_LIVED, A.ANNOTATIONS, A.ROLES.format(0).replace("roles AS", "roles0 AS", 1), A.ROLES.format(20).replace("roles AS", "roles20 AS", 1),
+)
+def mirror_feeds(spark, sf):
+    """Entities, sub-units, roles and annotations from three feeds, bootstrapped and committed together"""
+    store, pages = Store(spark, folder(spark, "feeds")), {k: folder(spark, k) for k in ("enheter", "underenheter", "roller")}
+    raw, base, even = _entity_events(spark, sf).drop("ts"), A.base(spark, sf), "CAST(organisasjonsnummer AS bigint) % 2 = 0"
+    raw.where(even).write.json(pages["enheter"])
+    raw.where(f"NOT {even}").write.json(pages["underenheter"])
+    A.table(spark, sf, "supplier").where("s_suppkey % 2 = 0").select(
+        F.col("s_suppkey").alias("id"), F.lit("no.example.rolle.oppdatert").alias("type"), F.lit("2024-01-01T00:00:00.000Z").alias("time"),
+        F.struct(F.col("s_suppkey").cast("string").alias("organisasjonsnummer")).alias("data"),
+    ).write.json(pages["roller"])
+    mine = lambda x: base.where(f"CAST(org_nr AS bigint) % 2 = {x}")
+    initial = {"enheter": mine(0), "underenheter": mine(1), "roller": A.roles(spark, sf), "paategninger": A.annotations(spark, sf)}
+    # events apply in time order within a batch, so all files are one
+    sync.sync_feeds(store, pages, f"{store.root}/checkpoint", initial, roles=lambda affected: A.roles(spark, sf, 20), files_per_batch=1_000_000)
+    view, none = store.tables.view(), F.lit(None).cast("string")
+    out = None
+    for kind in initial:
+        rows = store.state(kind, view)
+        if kind in ("enheter", "underenheter"):
+            rows = rows.select("org_nr", "name", F.col("employees").cast("long").alias("n"))
+        else:
+            rows = rows.groupBy("org_nr").agg(F.count("*").alias("n")).select("org_nr", none.alias("name"), "n")
+        rows = rows.select(F.lit(kind).alias("kind"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register(
     """SELECT org_nr, position, infotype, tekst FROM annotations WHERE CAST(org_nr AS BIGINT) % 3 <> 0 UNION ALL
     SELECT org_nr, CAST(max(position) + 1 AS INTEGER), 'FADR', concat('added to ', org_nr) FROM annotations WHERE CAST(org_nr AS BIGINT) % 3 = 1 GROUP BY org_nr""", A.ANNOTATIONS
 )
 def annotation_patches(spark, sf):
     """Some are cleared, others get one more"""
+    return _annotations_patched(spark, sf)[0].select("org_nr", "position", "infotype", "tekst")
+
+
+@register(
+    """SELECT org_nr, 'annotation_cleared' AS change_type, 'paategninger' AS field, CAST(count(*) AS VARCHAR) AS value_from, NULL AS value_to, CAST(org_nr AS BIGINT) + 1 AS update_id FROM annotations WHERE CAST(org_nr AS BIGINT) % 3 = 0 GROUP BY org_nr
+    UNION ALL SELECT DISTINCT org_nr, 'annotation_added', 'FADR', NULL, concat('added to ', org_nr), CAST(org_nr AS BIGINT) + 1 FROM annotations WHERE CAST(org_nr AS BIGINT) % 3 = 1""", A.ANNOTATIONS
+)
+def annotation_changes(spark, sf):
+    """The changelog of these patches"""
+    return _annotations_patched(spark, sf)[1].select("org_nr", "change_type", "field", "value_from", "value_to", "update_id")
+
+
+def _annotations_patched(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     state = A.annotations(spark, sf)
     who, none = state.select("org_nr").distinct(), F.lit(None).cast("string")
     key = F.col("org_nr").cast("long")
@@ -338,7 +404,7 @@ def annotation_patches(spark, sf):
         F.struct(F.lit("paategninger_-_infotype").alias("field"), F.lit("FADR").alias("new_value")), F.struct(F.lit("paategninger_-_tekst").alias("field"), F.concat(F.lit("added to "), "org_nr").alias("new_value"))
     )
     add = who.where(key % 3 == 1).select("org_nr", *meta, F.lit("add").alias("operation"), F.explode(parts).alias("p")).select("org_nr", "update_id", "timestamp", "operation", "p.field", "p.new_value")
-    return changes.apply_annotation_patches(state, clear.unionByName(add))[0].select("org_nr", "position", "infotype", "tekst")
+    return changes.apply_annotation_patches(state, clear.unionByName(add))
 
 
 @register("SELECT org_nr, role_code, person_id, CAST(NULL AS VARCHAR) AS elected_by, CAST(NULL AS DATE) AS group_modified FROM (SELECT * FROM roles) WHERE resigned", A.ROLES.format(0))

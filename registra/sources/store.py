@@ -1,11 +1,8 @@
-"""Dated snapshots, their manifest, retention, versioned state and the changelog, all as Parquet under one root."""
+"""Dated snapshots, their manifest, retention, state and the changelog, all as Parquet under one root."""
 
 from __future__ import annotations
 
 import datetime
-import json
-import re
-import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
@@ -13,6 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import schema
 from . import ingest
+from .tables import Tables, View
+
+#: The table of changes; states are named by their kind.
+CHANGELOG = "changelog"
 
 
 class Store:
@@ -20,6 +21,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.tables = Tables(spark, f"{self.root}/state")
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -118,86 +120,73 @@ class Store:
             return schema.empty(self.spark, schema.MANIFEST)
         return self.spark.read.schema(schema.MANIFEST).json(f"{self.root}/manifest")
 
-    # state: version folders, and numbered pointers of which the last counts
-
-    def _pointers(self, kind: str) -> list[str]:
-        return [n for n in self._names(f"{self.root}/state/{kind}") if re.fullmatch(r"pointer-\d{12}", n)]
-
-    def _pointer(self, kind: str) -> dict:
-        found = self._pointers(kind)
-        if not found:
-            return {"version": None, "batch_id": -1, "cursor": 0}
-        return json.loads("\n".join(r.value for r in self.spark.read.text(f"{self.root}/state/{kind}/{found[-1]}").collect()))
+    # state and changelog: log-structured tables, whose commits hold for all of them
 
     def has_state(self, kind: str) -> bool:
-        return self._pointer(kind)["version"] is not None
+        return self.tables.view().has(kind)
 
-    def state(self, kind: str) -> DataFrame | None:
-        """The current version of a state table."""
-        version = self._pointer(kind)["version"]
-        return self.spark.read.parquet(f"{self.root}/state/{kind}/{version}") if version else None
+    def state(self, kind: str, view: View | None = None) -> DataFrame | None:
+        """The current rows of a state table (S18), or those of an earlier view."""
+        return (view or self.tables.view()).rows(kind)
 
-    def cursor(self, kind: str) -> dict:
-        return self._pointer(kind)
+    def cursor(self, kind: str, view: View | None = None) -> dict:
+        """Where a feed stands (C10): the last batch that took effect and the last event in it."""
+        view = view or self.tables.view()
+        return {"version": view.changed(kind)} | (view.mark(kind) or {"batch_id": -1, "cursor": 0})
 
     def write_state(self, df: DataFrame, kind: str, batch_id: int = 0, cursor: int = 0) -> None:
-        """A new version, then a pointer of the next number (K4): a reader sees the old or the new one, never a part.
-
-        A pointer is renamed into place from a temporary name, and no other is touched before it is there. The two
-        newest versions stay, for readers that still have the older one open; those before are removed.
-        """
-        version = f"v={batch_id}-{uuid.uuid4().hex[:8]}"
-        base = f"{self.root}/state/{kind}"
-        df.write.mode("overwrite").parquet(f"{base}/{version}")
-        text = json.dumps({"version": version, "batch_id": batch_id, "cursor": cursor})
-        before = self._pointers(kind)
-        held = {json.loads(r.value)["version"] for n in before[-1:] for r in self.spark.read.text(f"{base}/{n}").collect()}
-        number = int(before[-1].rpartition("-")[2]) + 1 if before else 0
-        fs, temporary = self._fs(f"{base}/_{uuid.uuid4().hex[:8]}")
-        out = fs.create(temporary, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        if not fs.rename(temporary, self._fs(f"{base}/pointer-{number:012d}")[1]):
-            raise RuntimeError(f"state {kind} was written by another at the same time")
-        for name in self._names(base):
-            if (name.startswith("v=") and name not in held | {version}) or name in before[:-1]:
-                fs.delete(self._fs(f"{base}/{name}")[1], True)
-
-    # changelog
+        """A state's rows, all of them, and the feed's position, in one commit (K4)."""
+        tx = self.tables.begin()
+        tx.replace(kind, df)
+        tx.mark(kind, batch_id=batch_id, cursor=cursor)
+        tx.commit()
 
     def write_changelog(self, rows: DataFrame, sync_date: str, batch_id: int) -> None:
-        """One folder for each batch, overwritten by a repeat of the batch (K5, C11)."""
-        rows.write.mode("overwrite").parquet(f"{self.root}/changelog/sync_date={sync_date}/batch_id={batch_id}")
+        """A day's changes (K5, C11); its batches have rising numbers, and one that the log holds is passed over."""
+        tx = self.tables.begin()
+        name = f"{CHANGELOG}/{sync_date}"
+        if (tx.view.mark(name) or {"batch_id": -1})["batch_id"] >= batch_id:
+            return
+        tx.append(CHANGELOG, rows.withColumn("sync_date", F.lit(sync_date).cast("date")), by=("sync_date",))
+        tx.mark(name, batch_id=batch_id)
+        tx.commit()
+
+    def changelog(self, view: View | None = None) -> DataFrame:
+        """All changelog rows with sync_date (S19); filters on it prune folders."""
+        rows = (view or self.tables.view()).rows(CHANGELOG)
+        return schema.empty(self.spark, schema.CHANGELOG).withColumn("sync_date", F.lit(None).cast("date")) if rows is None else rows
+
+    def _held(self) -> dict[str, tuple[int, int]]:
+        """Table -> (days or 1, bytes)."""
+        out = {}
+        for table, entry in self.tables.view().content["tables"].items():
+            paths = [self.tables.path(table, r) for r in entry["runs"]]
+            days = {n for p in paths for n in self._names(p) if n.startswith("sync_date=")}
+            out[table] = (len(days) if table == CHANGELOG else 1, sum(self._fs(p)[0].getContentSummary(self._fs(p)[1]).getLength() for p in paths))
+        return out
 
-    def changelog(self) -> DataFrame:
-        """All changelog rows with sync_date (S19); filters on it prune partitions."""
-        if not self._names(f"{self.root}/changelog"):
-            return schema.empty(self.spark, schema.CHANGELOG).withColumn("sync_date", F.lit(None).cast("date"))
-        out = self.spark.read.option("basePath", f"{self.root}/changelog").parquet(f"{self.root}/changelog")
-        return out.withColumn("sync_date", F.col("sync_date").cast("date")).drop("batch_id")
+    def _kinds(self) -> list[str]:
+        return [n for n in self._names(self.root) if n not in ("state", "manifest")]
 
     def status_table(self) -> DataFrame:
         """(part, kind, entries, bytes, rows) of snapshots, states and the changelog (K10, K11); rows by manifest."""
         out = []
         counts = {(r.type, r.snapshot_date): r.record_count for r in self.manifest().collect()}
-        size = lambda path: self._fs(path)[0].getContentSummary(self._fs(path)[1]).getLength()
-        for kind in (n for n in self._names(self.root) if n not in ("state", "manifest", "changelog")):
+        for kind in self._kinds():
             found = self.snapshots(kind)
             out.append(("snapshots", kind, len(found), sum(f[1] for f in found), sum(counts.get((kind, str(f[0])), 0) for f in found)))
-        for kind in self._names(f"{self.root}/state"):
-            version = self._pointer(kind)["version"]
-            out.append(("state", kind, int(version is not None), size(f"{self.root}/state/{kind}/{version}") if version else 0, None))
-        days = self._names(f"{self.root}/changelog")
-        out.append(("changelog", None, len(days), size(f"{self.root}/changelog") if days else 0, None))
+        held = self._held()
+        out += [("state", kind, *x, None) for kind, x in held.items() if kind != CHANGELOG]
+        out.append(("changelog", None, *held.get(CHANGELOG, (0, 0)), None))
         return self.spark.createDataFrame(out, "part string, kind string, entries int, bytes long, rows long")
 
     def status(self) -> dict:
-        """What there is (K10, K11): snapshots, state pointers, changelog partitions."""
-        kinds = [n for n in self._names(self.root) if n not in ("state", "manifest", "changelog")]
+        """What there is (K10, K11): snapshots, positions of states, days of the changelog."""
+        held = self._held()
         return {
-            "snapshots": {k: len(self.snapshots(k)) for k in kinds},
-            "state": {k: self._pointer(k) for k in self._names(f"{self.root}/state")},
-            "changelog_partitions": len(self._names(f"{self.root}/changelog")),
+            "snapshots": {k: len(self.snapshots(k)) for k in self._kinds()},
+            "state": {k: self.cursor(k) for k in held if k != CHANGELOG},
+            "changelog_partitions": held.get(CHANGELOG, (0, 0))[0],
         }
 
 

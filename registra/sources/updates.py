@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.schema import PATCHES
 from ..functions.types import LONG, STRING, fields, struct
@@ -68,11 +69,11 @@ def update_fields(feed: DataFrame) -> DataFrame:
     return rows.select("update_id", "org_nr", "change_type", "timestamp", F.col("_p.operation").alias("operation"), F.col("_p.field").alias("field"), F.col("_p.new_value").alias("new_value"))
 
 
-def read_pages(spark: SparkSession, path: str, streaming: bool = False, files_per_batch: int = 5) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, streaming: bool = False, files_per_batch: int = 5, schema: T.StructType = EVENT) -> DataFrame:
     """Stored pages of a feed as JSON lines, in batch or as a stream of at most so many files a batch."""
     if streaming:
-        return spark.readStream.schema(EVENT).option("maxFilesPerTrigger", files_per_batch).json(path)
-    return spark.read.schema(EVENT).json(path)
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
+    return spark.read.schema(schema).json(path)
 
 
 def after_cursor(feed: DataFrame, cursor: int, size: int | None = None) -> DataFrame:

@@ -1,7 +1,9 @@
-"""An event-sourced mirror of the register: micro-batches of the change feed applied to a versioned state."""
+"""An event-sourced mirror of the register: micro-batches of change feeds applied to states, one commit a batch."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,75 +12,156 @@ from ..operators.changes import apply_annotation_patches
 from ..operators.diff import role_changes
 from ..operators.replay import change_rows, replay
 from ..sources import updates as feeds
-from ..sources.store import Store
+from ..sources.store import CHANGELOG, Store
+from ..sources.tables import Transaction
+
+ROLES, NOTES = "roller", "paategninger"
 
 
 def bootstrap(store: Store, kind: str, initial: DataFrame, cursor: int = 0) -> None:
     """The first state from a full extract, with the feed's position (C3); nothing if there is a state."""
-    if not store.has_state(kind):
-        store.write_state(initial, kind, -1, cursor)
+    bootstrap_all(store, {kind: initial}, {kind: cursor})
 
 
-def apply_batch(store: Store, kind: str, batch: DataFrame, batch_id: int, phase_order: bool = False) -> None:
-    """One batch of events (C4-C7, C9, C11): changelog first, then the states, then their pointers.
+def bootstrap_all(store: Store, initial: dict[str, DataFrame], cursors: dict[str, int] | None = None) -> None:
+    """First states of the kinds that have none yet, in one commit."""
+    tx = store.tables.begin()
+    for kind in [k for k in initial if not tx.view.has(k)]:
+        tx.replace(kind, initial[kind])
+        tx.mark(kind, batch_id=-1, cursor=(cursors or {}).get(kind, 0))
+    if tx.wholes:
+        tx.commit()
+
+
+def _logged(rows: DataFrame, day: str) -> DataFrame:
+    return rows.withColumn("sync_date", F.lit(day).cast("date"))
+
+
+def _entities(tx: Transaction, kind: str, batch: DataFrame, phase_order: bool, notes: list[DataFrame]) -> DataFrame:
+    """Puts what a batch makes of the entities it names; its changelog rows. Only these entities are read and written."""
+    touched = batch.select("org_nr").distinct()
+    base = tx.view.rows(kind, touched)
+    tx.put(kind, replay(base, batch, phase_order=phase_order), touched)
+    if tx.view.has(NOTES):
+        patches = feeds.update_fields(batch).where(F.lower("field").rlike("^paategninger"))
+        gone = batch.where(F.col("change_type").isin(*schema.DELETED)).select("org_nr").distinct()
+        notes.append(patches.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)), allowMissingColumns=True))
+    return change_rows(base, batch, registry=kind, phase_order=phase_order)
+
+
+def _annotations(tx: Transaction, notes: list[DataFrame]) -> DataFrame:
+    """Puts the annotations that patches of all kinds of entities leave; a deletion takes an entity's away."""
+    every = notes[0]
+    for more in notes[1:]:
+        every = every.unionByName(more)
+    touched = every.select("org_nr").distinct()
+    new, log = apply_annotation_patches(tx.view.rows(NOTES, touched), every.where("NOT _gone").drop("_gone"))
+    tx.put(NOTES, new.join(every.where("_gone").select("org_nr"), "org_nr", "left_anti"), touched)
+    return log
+
+
+def _roles(tx: Transaction, full: DataFrame, affected: DataFrame, timestamp: str) -> DataFrame:
+    affected = affected.select("org_nr").distinct()
+    old, new = tx.view.rows(ROLES, affected), full.join(affected, "org_nr", "left_semi")
+    tx.put(ROLES, new, affected)
+    return role_changes(old, new, timestamp)
+
 
-    Where the store holds annotations, patches of them are applied to these, and a deletion takes an entity's away.
-    The changelog's folder is named by the batch and by the day of its last event, so a repeat after a failure
-    overwrites it; a batch that the state already holds is passed over.
+def apply_feeds(
+    store: Store, batches: dict[str, DataFrame], batch_id: int, phase_order: bool = False,
+    roles: Callable[[DataFrame], DataFrame] | None = None
+) -> bool:
+    """One batch of several feeds (C2, C4-C9, C11): states, annotations, changelog and positions in a single commit.
+
+    ``batches`` has events by kind; those of ``roller`` name organisations whose roles have changed, and ``roles`` tells
+    their roles as they are now, all of them. Events count once by update_id; a kind whose state already holds the
+    batch is passed over, and so is a batch without events. A batch that fails anywhere leaves nothing to be seen and
+    can be applied again. Tells whether anything was committed.
     """
-    pointer = store.cursor(kind)
-    if pointer["batch_id"] >= batch_id:
-        return
-    batch = batch.dropDuplicates(["update_id"]).persist()
+    tx = store.tables.begin()
+    logs, notes, held = [], [], []
     try:
-        last = batch.agg(F.max("update_id").alias("id"), F.max("timestamp").cast("date").cast("string").alias("day")).first()
-        if last.id is None:
-            return
-        base = store.state(kind)
-        rows = change_rows(base, batch, registry=kind, phase_order=phase_order)
-        notes = None
-        if store.has_state("paategninger"):
-            held = store.state("paategninger")
-            patches = feeds.update_fields(batch).where(F.lower("field").rlike("^paategninger"))
-            notes, log = apply_annotation_patches(held, patches)
-            gone = batch.where(F.col("change_type").isin(*schema.DELETED)).select("org_nr").distinct()
-            notes = notes.join(gone, "org_nr", "left_anti")
-            rows = rows.unionByName(log, allowMissingColumns=True)
-        store.write_changelog(rows, last.day, batch_id)
-        if notes is not None and store.cursor("paategninger")["batch_id"] < batch_id:
-            store.write_state(notes, "paategninger", batch_id, last.id)
-        store.write_state(replay(base, batch, phase_order=phase_order), kind, batch_id, last.id)
+        for kind, batch in batches.items():
+            if not tx.view.has(kind):
+                raise ValueError(f"{kind} has no state yet: bootstrap it")
+            if tx.view.mark(kind)["batch_id"] >= batch_id:
+                continue
+            batch = batch.dropDuplicates(["update_id"]).persist()
+            held.append(batch)
+            last = batch.agg(F.max("update_id").alias("id"), F.max("timestamp").cast("date").cast("string").alias("day"), F.date_format(F.max("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("at")).first()
+            if last.id is None:
+                continue
+            log = _roles(tx, roles(batch.select("org_nr").distinct()), batch, last.at) if kind == ROLES else _entities(tx, kind, batch, phase_order, notes)
+            logs.append((log, last.day))
+            tx.mark(kind, batch_id=batch_id, cursor=last.id)
+        if not logs:
+            return False
+        if notes:
+            logs.append((_annotations(tx, notes), max(day for _, day in logs)))
+            tx.mark(NOTES, **{k: max(m[k] for n, m in tx.marks.items() if n != NOTES) for k in ("batch_id", "cursor")})
+        every = None
+        for log, day in logs:
+            rows = _logged(log, day)
+            every = rows if every is None else every.unionByName(rows, allowMissingColumns=True)
+        tx.append(CHANGELOG, every, by=("sync_date",))
+        tx.commit()
     finally:
-        batch.unpersist()
+        for batch in held:
+            batch.unpersist()
+    for table in (*tx.puts, CHANGELOG):
+        store.tables.compact(table)
+    return True
+
+
+def apply_batch(store: Store, kind: str, batch: DataFrame, batch_id: int, phase_order: bool = False) -> None:
+    """One batch of one feed; see apply_feeds()."""
+    apply_feeds(store, {kind: batch}, batch_id, phase_order)
 
 
 def apply_roles(store: Store, full: DataFrame, timestamp: str, batch_id: int, affected: DataFrame | None = None) -> None:
     """A full extract of roles, or that of the ``affected`` organisations, against the state."""
-    if store.cursor("roller")["batch_id"] >= batch_id:
+    tx = store.tables.begin()
+    if (tx.view.mark(ROLES) or {"batch_id": -1})["batch_id"] >= batch_id:
         return
-    old = store.state("roller")
-    if affected is not None and old is not None:
-        rest = old.join(affected, "org_nr", "left_anti")
-        new, old = full.join(affected, "org_nr", "left_semi"), old.join(affected, "org_nr", "left_semi")
-        whole = rest.unionByName(new, allowMissingColumns=True)
+    if affected is not None and tx.view.has(ROLES):
+        rows = _roles(tx, full, affected, timestamp)
     else:
-        new = whole = full
-    store.write_changelog(role_changes(old, new, timestamp), timestamp[:10], batch_id)
-    store.write_state(whole, "roller", batch_id)
+        rows = role_changes(tx.view.rows(ROLES), full, timestamp)
+        tx.replace(ROLES, full)
+    tx.append(CHANGELOG, _logged(rows, timestamp[:10]), by=("sync_date",))
+    tx.mark(ROLES, batch_id=batch_id, cursor=(tx.view.mark(ROLES) or {"cursor": 0})["cursor"])
+    tx.commit()
 
 
-def sync(store: Store, kind: str, pages: str, checkpoint: str, files_per_batch: int = 5, phase_order: bool = False):
-    """Read all new pages of a feed once and apply them (C2); returns the finished query.
+def sync_feeds(
+    store: Store, pages: dict[str, str], checkpoint: str, initial: dict[str, DataFrame] | None = None,
+    roles: Callable[[DataFrame], DataFrame] | None = None, files_per_batch: int = 5, phase_order: bool = False
+):
+    """Read all new pages of all feeds once and apply them (C2, C3); returns the finished query.
 
-    The checkpoint is the cursor. State and changelog are written from foreachBatch.
+    ``pages`` has a folder by kind; kinds without a state get the ``initial`` one first. The feeds are one stream, so a
+    batch holds what is new in each and is one commit. The checkpoint is the cursor.
     """
-    feed = feeds.events(feeds.read_pages(store.spark, pages, streaming=True, files_per_batch=files_per_batch))
-    write = feed.writeStream.foreachBatch(lambda batch, n: apply_batch(store, kind, batch, n, phase_order)).option("checkpointLocation", checkpoint)
-    query = write.trigger(availableNow=True).start()
+    bootstrap_all(store, initial or {})
+    stream = None
+    for kind, path in pages.items():
+        raw = feeds.read_pages(store.spark, path, True, files_per_batch, feeds.ROLE_EVENT if kind == ROLES else feeds.EVENT)
+        rows = (feeds.role_events(raw) if kind == ROLES else feeds.events(raw)).withColumn("_feed", F.lit(kind))
+        stream = rows if stream is None else stream.unionByName(rows, allowMissingColumns=True)
+
+    def apply(batch: DataFrame, n: int) -> None:
+        apply_feeds(store, {k: batch.where(F.col("_feed") == k).drop("_feed") for k in pages}, n, phase_order, roles)
+
+    query = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def sync(store: Store, kind: str, pages: str, checkpoint: str, files_per_batch: int = 5, phase_order: bool = False):
+    """Read all new pages of one feed once and apply them; see sync_feeds()."""
+    return sync_feeds(store, {kind: pages}, checkpoint, files_per_batch=files_per_batch, phase_order=phase_order)
+
+
 def daily_flows(feed: DataFrame, late: str = "2 days") -> DataFrame:
     """Entries and exits of a stream of events by day, with a watermark for late ones."""
     kind = F.col("change_type")

@@ -274,18 +274,6 @@ def test_plans(spark):
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan and "Python" not in plan, name
 
 
-def test_state_pointers(spark, tmp_path):
-    """Versions beyond the last two go; a pointer that was never finished is passed over."""
-    store = Store(spark, f"file://{tmp_path}")
-    frame = lambda n: spark.createDataFrame([(str(n),)], "org_nr string")
-    for n in range(4):
-        store.write_state(frame(n), "enheter", n, 10 * n)
-        (tmp_path / "state" / "enheter" / "_left").write_text("half a po")
-        assert [r.org_nr for r in store.state("enheter").collect()] == [str(n)] and store.cursor("enheter")["cursor"] == 10 * n
-    kept = [p.name for p in (tmp_path / "state" / "enheter").iterdir() if p.name.startswith(("v=", "pointer-"))]
-    assert sum(k.startswith("v=") for k in kept) == 2 and sorted(k for k in kept if k.startswith("pointer"))[-1] == "pointer-000000000003"
-
-
 def test_snapshots_of_different_types_open_as_one(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}")
     store.write_snapshot(spark.createDataFrame([("1", "5")], "org_nr string, employees string"), "enheter", "2024-01-31")
