@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionaries
 from ..operators import changes, diff
-from ..sources import ingest, updates
+from ..sources import ingest, paging, updates
 from ..sources.store import Store
 from ..streaming import sync
 from . import adapters as A
@@ -187,6 +187,22 @@ def feed_after_cursor(spark, sf):
     return updates.after_cursor(feed, 1000, 500).select("update_id", "org_nr", "change_type")
 
 
+@register("SELECT update_id, org_nr, change_type FROM cdc WHERE update_id > 1234", A.CDC)
+def feed_polled(spark, sf):
+    """A stream of polls from within a page, two pages each, started anew until nothing is left"""
+    pages, out = folder(spark, "polled-pages"), folder(spark, "polled")
+    events = _entity_events(spark, sf).drop("ts")
+    paging.write_pages(events, pages, 2500)
+    polled = True
+    while polled:
+        batches = []
+        rows = paging.read_events(spark, pages, 1234, 2, streaming=True)
+        write = rows.writeStream.foreachBatch(lambda batch, n: (batch.write.mode("overwrite").parquet(f"{out}/rows/batch={n}"), batches.append(n)))
+        write.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        polled = bool(batches)
+    return updates.events(spark.read.schema(updates.EVENT).parquet(f"{out}/rows"), include_changes=False).select("update_id", "org_nr", "change_type")
+
+
 @register("SELECT update_id, org_nr, v_name AS change_type, date_trunc('second', \"timestamp\") AS \"timestamp\" FROM cdc", A.CDC)
 def role_feed(spark, sf):
     """S13"""

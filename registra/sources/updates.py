@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,43 +15,62 @@ EVENT = fields("oppdateringsid long, organisasjonsnummer string, endringstype st
 ROLE_EVENT = struct(id=LONG, type=STRING, time=STRING, data=struct(organisasjonsnummer=STRING))
 
 
-def walk(field: str, value) -> list[tuple[str, str | None]]:
-    """(field, text) of the leaves of a patch value, to any depth; items of arrays are numbered from 0."""
-    if isinstance(value, dict):
-        return [x for k, v in value.items() for x in walk(f"{field}_{k}", v)]
-    if isinstance(value, list):
-        return [x for i, v in enumerate(value) for x in walk(f"{field}_{i}", v)]
-    return [(field, None if value is None else str(value).upper() if isinstance(value, bool) else value if isinstance(value, str) else json.dumps(value))]
+#: Levels of a patch's value that are told apart; what lies deeper stays one value, as JSON text.
+LEVELS = 6
+_LEAF = "array<struct<field: string, value: variant>>"
+
+
+def _deeper(leaves: Column) -> Column:
+    """(field, value) leaves one level down: members of objects by name, items of arrays by number from 0."""
+
+    def one(leaf: Column) -> Column:
+        members, items = leaf.value.try_cast("map<string,variant>"), leaf.value.try_cast("array<variant>")
+        named = F.transform(F.map_entries(members), lambda e: F.struct(F.concat(leaf.field, F.lit("_"), e.key).alias("field"), e.value.alias("value")))
+        numbered = F.transform(items, lambda x, i: F.struct(F.concat(leaf.field, F.lit("_"), i.cast("string")).alias("field"), x.alias("value")))
+        return F.coalesce(named, numbered, F.array(leaf))
 
+    return F.flatten(F.transform(leaves, one))
 
-def patch_rows(text: str | None) -> list[dict]:
-    """Patches of one event as rows (operation, field, new_value).
+
+def _name(path: Column) -> Column:
+    return F.translate(F.trim(F.coalesce(path, F.lit("")), F.lit("/")), "/", "_")
+
+
+def patches(text: Column, levels: int = LEVELS) -> Column:
+    """Patches of an event, a JSON array, as rows (operation, field, new_value), level by level as VARIANT.
 
     A removal or NULL has no value; a move also removes where it came from; an empty array, which clears, is a NULL.
+    Of an object or array each leaf is a row, objects' members in the order of their names; inner ones that are empty
+    have none. NULL and what is no JSON array have no patches.
     """
-    out = []
-    for patch in json.loads(text) if text else []:
-        field, op = (patch.get("path") or "").strip("/").replace("/", "_"), patch.get("op")
-        if op in ("move", "copy"):
-            if op == "move":
-                out.append({"operation": "remove", "field": (patch.get("from") or "").strip("/").replace("/", "_"), "new_value": None})
-            out.append({"operation": op, "field": field, "new_value": None})
-            continue
-        value = None if op == "remove" or patch.get("value") == [] else patch.get("value")
-        out += [{"operation": op, "field": f, "new_value": v} for f, v in walk(field, value)]
-    return out
+    row = lambda op, field, value: F.struct(op.alias("operation"), field.alias("field"), value.alias("new_value"))
+    none, get = F.lit(None).cast("string"), lambda p, key, kind: F.try_variant_get(p, f"$.{key}", kind)
+
+    def shown(v: Column) -> Column:
+        kind = F.schema_of_variant(v)
+        return F.when(kind == "BOOLEAN", F.upper(v.try_cast("string"))).when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v)).otherwise(v.try_cast("string"))
 
+    def one(p: Column) -> Column:
+        op, field, value = get(p, "op", "string"), _name(get(p, "path", "string")), get(p, "value", "variant")
+        leaves = F.array(F.struct(field.alias("field"), value.alias("value"))).cast(_LEAF)
+        for _ in range(levels):
+            leaves = _deeper(leaves)
+        # one nesting of its own, so that the leaves are computed once
+        told = F.flatten(F.transform(F.array(leaves), lambda found: F.transform(found, lambda x: row(op, x.field, shown(x.value)))))
+        plain = F.array(row(op, field, none))
+        moved = F.array(row(F.lit("remove"), _name(get(p, "from", "string")), none), row(op, field, none))
+        cleared = (op == "remove") | F.coalesce(F.size(value.try_cast("array<variant>")) == 0, F.lit(False))
+        return F.when(op == "move", moved).when((op == "copy") | cleared, plain).otherwise(told)
 
-@F.pandas_udf(PATCHES)
-def _patches(texts: pd.Series) -> pd.Series:
-    return texts.map(patch_rows)
+    found = F.try_parse_json(text).try_cast("array<variant>")
+    return F.coalesce(F.flatten(F.transform(found, one)), F.array()).cast(PATCHES)
 
 
 def events(raw: DataFrame, include_changes: bool = True) -> DataFrame:
     """(update_id, org_nr, change_type, timestamp [, changes]) of feed rows (S12, P13); times are UTC."""
     stamp = F.try_to_timestamp(F.regexp_replace(F.substring("dato", 1, 19), "T", " "), F.lit("yyyy-MM-dd HH:mm:ss"))
     columns = [F.col("oppdateringsid").alias("update_id"), F.col("organisasjonsnummer").alias("org_nr"), F.col("endringstype").alias("change_type"), stamp.alias("timestamp")]
-    return raw.select(*columns, *([_patches("endringer").alias("changes")] if include_changes else []))
+    return raw.select(*columns, *([patches(F.col("endringer")).alias("changes")] if include_changes else []))
 
 
 def role_events(raw: DataFrame) -> DataFrame:

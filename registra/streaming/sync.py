@@ -11,6 +11,7 @@ from ..functions import schema
 from ..operators.changes import apply_annotation_patches
 from ..operators.diff import role_changes
 from ..operators.replay import change_rows, replay
+from ..sources import paging
 from ..sources import updates as feeds
 from ..sources.store import CHANGELOG, Store
 from ..sources.tables import Transaction
@@ -135,17 +136,24 @@ def apply_roles(store: Store, full: DataFrame, timestamp: str, batch_id: int, af
 
 def sync_feeds(
     store: Store, pages: dict[str, str], checkpoint: str, initial: dict[str, DataFrame] | None = None,
-    roles: Callable[[DataFrame], DataFrame] | None = None, files_per_batch: int = 5, phase_order: bool = False
+    roles: Callable[[DataFrame], DataFrame] | None = None, files_per_batch: int = 5, phase_order: bool = False,
+    paged: bool = False, max_pages: int | None = None
 ):
     """Read all new pages of all feeds once and apply them (C2, C3); returns the finished query.
 
     ``pages`` has a folder by kind; kinds without a state get the ``initial`` one first. The feeds are one stream, so a
-    batch holds what is new in each and is one commit. The checkpoint is the cursor.
+    batch holds what is new in each and is one commit. The checkpoint is the cursor. With ``paged`` the folders are
+    stored pages whose names tell their ids: the run is one poll of at most ``max_pages`` pages a feed, from where the
+    state stands; see paging.read_events().
     """
     bootstrap_all(store, initial or {})
     stream = None
     for kind, path in pages.items():
-        raw = feeds.read_pages(store.spark, path, True, files_per_batch, feeds.ROLE_EVENT if kind == ROLES else feeds.EVENT)
+        shape = feeds.ROLE_EVENT if kind == ROLES else feeds.EVENT
+        if paged:
+            raw = paging.read_events(store.spark, path, store.cursor(kind)["cursor"], max_pages, True, shape)
+        else:
+            raw = feeds.read_pages(store.spark, path, True, files_per_batch, shape)
         rows = (feeds.role_events(raw) if kind == ROLES else feeds.events(raw)).withColumn("_feed", F.lit(kind))
         stream = rows if stream is None else stream.unionByName(rows, allowMissingColumns=True)
 

@@ -7,6 +7,7 @@ import random
 import pytest
 
 from registra.functions import schema
+from registra.sources import paging, updates
 from registra.sources import tables as T
 from registra.sources.store import CHANGELOG, Store
 from registra.sources.tables import Conflict, Tables
@@ -195,3 +196,57 @@ def test_feeds_in_one_stream(spark, tmp_path):
     run()
     assert store.tables.view().version == version + 1 and store.state("enheter").count() == 1 and store.cursor("enheter")["cursor"] == 3
     assert store.status()["changelog_partitions"] == 4
+
+
+def feed_rows(spark, ids):
+    return spark.createDataFrame([(i, str(i % 7), "Ny", "2024-01-01T00:00:00", "[]") for i in ids], updates.EVENT)
+
+
+def ids_of(df):
+    return sorted(r[0] for r in df.select("oppdateringsid").collect())
+
+
+def test_polls_of_stored_pages(spark, tmp_path):
+    """Pages that overlap give each event once; polls begin and go on within pages; a failed batch comes again."""
+    path = f"file://{tmp_path}/pages"
+    ids = [i for i in range(1, 700) if i % 3]
+    paging.write_pages(feed_rows(spark, ids), path, 100)
+    (tmp_path / "pages" / "notes.txt").write_text("no page")
+    (tmp_path / "pages" / "x.jsonl.tmp").write_text("{")
+    read = lambda **k: ids_of(paging.read_events(spark, path, **k))
+    assert read() == [i for i in ids if i <= 499] and read(max_pages=100) == ids
+    assert read(cursor=250) == [i for i in ids if i > 250] and read(cursor=250, max_pages=1) == [i for i in ids if 250 < i <= 299] and read(cursor=700) == []
+    assert ids_of(paging.read_events(spark, f"file://{tmp_path}/none")) == []
+    got, broken = [], [True]
+
+    def take(batch, n):
+        found = ids_of(batch)
+        if n == 1 and broken:
+            raise OSError(broken.pop())
+        got.append((n, found))
+
+    def run(max_pages, cursor):
+        rows = paging.read_events(spark, path, cursor, max_pages, streaming=True)
+        rows.writeStream.foreachBatch(take).option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+
+    run(2, 150)
+    with pytest.raises(Exception, match="True"):
+        run(1, 150)
+    # another limit and another cursor: the batch that failed keeps its bounds, the next goes on from there
+    run(3, 0)
+    # a later page that overlaps what was read
+    paging.write_pages(feed_rows(spark, range(640, 720)), path, 10_000)
+    for _ in range(3):
+        run(None, 0)
+    assert got[0] == (0, [i for i in ids if 150 < i <= 299]) and got[1] == (1, [i for i in ids if 299 < i <= 398])
+    assert [i for _, found in got for i in found] == [i for i in ids if 150 < i] + list(range(699, 720))
+
+
+def test_sync_of_stored_pages(spark, tmp_path):
+    store, path = Store(spark, f"file://{tmp_path}/store"), f"file://{tmp_path}/pages"
+    sync.bootstrap(store, "enheter", spark.createDataFrame([("1", "A")], "org_nr string, name string"), cursor=4)
+    paging.write_pages(feed_rows(spark, range(1, 10)), path, 3)
+    for reached in (5, 8, 9, 9):
+        sync.sync_feeds(store, {"enheter": path}, f"file://{tmp_path}/cp", paged=True, max_pages=1)
+        assert store.cursor("enheter")["cursor"] == reached
+    assert sorted(r.org_nr for r in store.state("enheter").collect()) == ["0", "1", "2", "5", "6"]

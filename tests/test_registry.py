@@ -140,16 +140,54 @@ def test_patch_fields():
     assert replay.field_column("unknown", columns) is None
 
 
-def test_patches():
+def leaves(field, value):
+    if isinstance(value, dict):
+        return [x for k, v in sorted(value.items()) for x in leaves(f"{field}_{k}", v)]
+    if isinstance(value, list):
+        return [x for i, v in enumerate(value) for x in leaves(f"{field}_{i}", v)]
+    return [(field, None if value is None else str(value).upper() if isinstance(value, bool) else value if isinstance(value, str) else json.dumps(value))]
+
+
+def patch_rows(found):
+    """Patches row by row."""
+    out = []
+    for p in found:
+        name = lambda key: (p.get(key) or "").strip("/").replace("/", "_")  # noqa: B023, E731
+        if p.get("op") in ("move", "copy"):
+            out += [("remove", name("from"), None)] * (p["op"] == "move") + [(p["op"], name("path"), None)]
+        elif p.get("op") == "remove" or p.get("value") == []:
+            out.append((p.get("op"), name("path"), None))
+        else:
+            out += [(p.get("op"), f, v) for f, v in leaves(name("path"), p.get("value"))]
+    return out
+
+
+def flattened(spark, texts):
+    return [[tuple(p) for p in r.p] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(updates.patches(F.col("t")).alias("p")).collect()]
+
+
+def test_patches(spark):
     patches = [
         {"op": "replace", "path": "/navn", "value": "A"}, {"op": "add", "path": "/adresse", "value": {"by": "Oslo", "linjer": ["x", "y"]}}, {"op": "remove", "path": "/mobil"},
         {"op": "replace", "path": "/paategninger", "value": []}, {"op": "move", "path": "/b", "from": "/a"}, {"op": "add", "path": "/f", "value": True},
     ]
-    assert [(p["operation"], p["field"], p["new_value"]) for p in updates.patch_rows(json.dumps(patches))] == [
+    expected = [
         ("replace", "navn", "A"), ("add", "adresse_by", "Oslo"), ("add", "adresse_linjer_0", "x"), ("add", "adresse_linjer_1", "y"), ("remove", "mobil", None),
         ("replace", "paategninger", None), ("remove", "a", None), ("move", "b", None), ("add", "f", "TRUE"),
     ]
-    assert updates.patch_rows(None) == []
+    assert patch_rows(patches) == expected and flattened(spark, [json.dumps(patches), None, "", "{}", "[", "[]"]) == [expected, [], [], [], [], []]
+    rnd = random.Random(2)
+
+    def value(depth):
+        kind = rnd.randrange(9 if depth else 6)
+        if kind < 6:
+            return [None, True, "é \" \n", 12345678901, -1.25, ""][kind]
+        return [value(depth - 1) for _ in range(rnd.randrange(3))] if kind == 6 else {rnd.choice(["a", "b", "æ_1", "C"]): value(depth - 1) for _ in range(rnd.randrange(4))}
+
+    every = [[{"op": rnd.choice(["add", "replace", "remove", "move", "copy"]), "path": rnd.choice(["/x", "/x/y/", "z"]), "from": "/o/p", "value": value(5)} for _ in range(3)] for _ in range(60)]
+    assert flattened(spark, map(json.dumps, every)) == [patch_rows(p) for p in every]
+    deep = flattened(spark, [json.dumps([{"op": "add", "path": "/d", "value": [[[[[[[["x"]]]]]]]]}])])
+    assert deep == [[("add", "d" + "_0" * updates.LEVELS, '[["x"]]')]]
 
 
 def test_ingest(spark, tmp_path):
@@ -269,7 +307,7 @@ def test_queries_match_names():
 def test_plans(spark):
     from registra.queries import QUERIES
 
-    for name in ("snapshot_diff", "replay_asof", "board_summary", "flows_with_exits", "role_diff"):
+    for name in ("snapshot_diff", "replay_asof", "board_summary", "flows_with_exits", "role_diff", "feed_patches"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan and "Python" not in plan, name
 
