@@ -12,19 +12,37 @@ from pyspark.sql import types as T
 from ..functions import dictionaries, schema
 from ..functions.exprs import as_type, person_id, snake_name
 from ..functions.types import BOOLEAN, INT, STRING, array, struct
+from . import ranges
 
 
-def read_csv(spark: SparkSession, path: str, n_max: int | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, n_max: int | None = None, range_bytes: int | None = None) -> DataFrame:
     """A bulk CSV (S9): commas, UTF-8, quoted line breaks, every column a text.
 
-    Quoted line breaks make a file one task: write large ones as a snapshot once and read that.
+    Quoted line breaks make a file one task, unless it is read in ranges of ``range_bytes``, which needs files that are
+    not compressed and quote as RFC 4180 has it.
     """
-    out = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    if range_bytes is None:
+        out = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    else:
+        rows = ranges.records(spark, path, False, range_bytes)
+        out = rows.select(F.from_csv("value", ", ".join(f"`{c.replace('`', '``')}` string" for c in ranges.header(path)), {"escape": '"'}).alias("r")).select("r.*")
     return out if n_max is None else out.limit(n_max)
 
 
-def read_json(spark: SparkSession, path: str, kind: T.StructType | None = None, lines: bool = False) -> DataFrame:
-    """A bulk JSON array, which one task reads, or JSON lines, which many tasks can read."""
+def read_json(
+    spark: SparkSession, path: str, kind: T.StructType | None = None, lines: bool = False,
+    range_bytes: int | None = None
+) -> DataFrame:
+    """A bulk JSON array, which one task reads unless it is read in ranges of ``range_bytes``, or JSON lines.
+
+    In ranges, a schema that isn't given is found from all elements, once, before.
+    """
+    if range_bytes is not None and not lines:
+        rows = ranges.records(spark, path, True, range_bytes)
+        if kind is None:
+            found = rows.agg(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
+            kind = T.StructType.fromDDL(re.sub(r"\bVOID\b", "STRING", re.sub(r"\bOBJECT\b(<>)?", lambda m: "STRING" if m[1] else "STRUCT", found)).removeprefix("STRUCT<").removesuffix(">"))
+        return rows.select(F.from_json("value", kind).alias("r")).select("r.*")
     reader = spark.read.option("multiLine", not lines)
     return (reader if kind is None else reader.schema(kind)).json(path)
 

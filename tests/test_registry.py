@@ -6,10 +6,11 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registra.functions import dictionaries, exprs, schema
 from registra.operators import changes, diff, drift, governance, graph, label, lookup, panel, replay
-from registra.sources import ingest, updates
+from registra.sources import ingest, ranges, updates
 from registra.sources.store import Store, retention_plan
 from registra.streaming import sync
 
@@ -209,6 +210,50 @@ def test_ingest(spark, tmp_path):
     assert (one.org_nr, one.name, one.employees, one.bankrupt) == ("999999999", "A, B", 5, False)
 
 
+def records_by_ranges(path, size, is_json):
+    """What ranges of so many bytes find, their beginnings summed up one after the other."""
+    system, name = ranges._system(path)
+    within = depth = 0
+    out = []
+    for start in range(0, ranges.files_of(path)[0][1], size):
+        find = ranges._json_elements if is_json else ranges._csv_records
+        out += [x.decode() for x in find(system, name, start, size, within, depth)]
+        quotes, outside, inside = ranges._counted(system, name, start, size, is_json)
+        depth += inside if within else outside
+        within = (within + quotes) % 2
+    return out
+
+
+def test_large_files_in_ranges(spark, tmp_path):
+    """Ranges that cut fields, quotes, escapes and characters anywhere give what one task reads."""
+    rnd = random.Random(6)
+    bits = ["a", '"', '""', ",", "\n", "\r\n", "\\", '\\"', "é", "日本", " ", "{", "}", "[", "]", "x" * 90, ""]
+    text = lambda: "".join(rnd.choice(bits) for _ in range(rnd.randrange(6)))
+    table = [["org", "navn", "b.c", 'd "e"\nf'], *([f"id{i}", text(), text(), "y"] for i in range(120))]
+    quoted = lambda v: '"' + v.replace('"', '""') + '"'
+    (tmp_path / "csv").mkdir()
+    for part, ending in ((0, "\n"), (1, "\r\n")):
+        lines = [",".join(map(quoted, r)) for r in [table[0], *table[1 + 60 * part : 61 + 60 * part]]]
+        (tmp_path / "csv" / f"{part}.csv").write_bytes((ending.join(lines) + (ending if part else "")).encode())
+        for size in (1, 7, 64, 100_000):
+            assert records_by_ranges(f"file://{tmp_path}/csv/{part}.csv", size, False) == lines[1:]
+    shown = lambda df: sorted(map(str, df.collect()))
+    whole, cut = (ingest.read_csv(spark, f"file://{tmp_path}/csv", range_bytes=n) for n in (None, 1500))
+    assert cut.columns == whole.columns == table[0] and shown(cut) == shown(whole) and whole.count() == 120
+    rows = [{"id": i, "t": text(), "n": {"a": text(), "b": [{"c": text()}, {}]}, **({"x": text()} if i % 3 else {})} for i in range(90)]
+    path, kind = f"file://{tmp_path}/e.json", "id long, t string, n struct<a: string, b: array<struct<c: string>>>, x string"
+    for indent in (None, 1):
+        (tmp_path / "e.json").write_text(json.dumps(rows, ensure_ascii=False, indent=indent))
+        for size in (1, 5, 61, 100_000):
+            assert [json.loads(x) for x in records_by_ranges(path, size, True)] == rows
+    whole = shown(ingest.read_json(spark, path).select("id", "t", "n", "x"))
+    assert shown(ingest.read_json(spark, path, T.StructType.fromDDL(kind), range_bytes=2500)) == whole
+    assert shown(ingest.read_json(spark, path, range_bytes=5000).select("id", "t", "n", "x")) == whole
+    (tmp_path / "z.csv.gz").write_bytes(b"x")
+    with pytest.raises(ValueError):
+        ingest.read_csv(spark, f"file://{tmp_path}/z.csv.gz", range_bytes=10)
+
+
 def test_roles_and_signing(spark):
     nested = {"organisasjonsnummer": "1", "rollegrupper": [{"type": {"kode": "STYR"}, "sistEndret": "2024-01-01", "roller": [
         {"type": {"kode": "LEDE"}, "person": {"fodselsdato": "1951-07-16", "navn": {"fornavn": "Jan", "etternavn": "Aarrestad"}, "erDoed": False}, "rekkefolge": 1},
