@@ -133,6 +133,26 @@ def test_replay_equals_fold(spark, seed):
     assert replay.until(u, "2024-01-05").count() <= replay.until(u, "2024-01-05", True).count()
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_replay_at_many_dates(spark, seed):
+    """Every date's state as its own replay has it, ties in time and lives that end and begin again included."""
+    rnd = random.Random(seed)
+    base = spark.createDataFrame([(str(i), f"n{i}", i) for i in range(10)], SNAPSHOT)
+    events = []
+    for i in range(160):
+        patches = [("replace", rnd.choice(["navn", "antallAnsatte", "unknown"]), rnd.choice(["1", "2", None])) for _ in range(rnd.randint(0, 3))]
+        at = datetime.datetime(2024, 1, 1 + rnd.randint(0, 9), rnd.choice([0, 0, 7])) if i % 40 else None
+        events.append((i, str(rnd.randint(0, 14)), rnd.choice(["Ny", "Endring", "Endring", "Sletting", "Ukjent"]), at, rnd.choice([patches, patches, None])))
+    updates = spark.createDataFrame(events, schema.UPDATES)
+    dates = ["2023-12-31", "2024-01-01", "2024-01-04", "2024-01-05", "2024-01-09", "2024-02-01"]
+    for inclusive in (False, True):
+        found = replay.replay_dates(base, updates, dates, inclusive_day=inclusive).collect()
+        for date in dates:
+            mine = sorted(((r.org_nr, r.name, r.employees) for r in found if str(r.target_date) == date), key=str)
+            assert mine == rows(replay.replay(base, updates, date, inclusive_day=inclusive), "org_nr", "name", "employees"), (date, inclusive)
+    assert replay.replay_dates(base.limit(0), updates.limit(0), dates).count() == 0
+
+
 def test_patch_fields():
     columns = ["org_nr", "employees", "some_custom_field", "business_city"]
     assert replay.field_column("antallAnsatte", columns) == "employees"
@@ -325,6 +345,63 @@ def test_graph(spark):
     assert rows(graph.projection(graph.board_network(table, entities)[1])) == [("o:111", "o:222", 1)]
 
 
+def test_boards_of_one_person(spark):
+    """A person on very many boards: pairs in tiles as without them, and no key that holds more than two tiles."""
+    rnd = random.Random(1)
+    edges = {(f"p:{rnd.randrange(30)}", f"o:{rnd.randrange(60)}") for _ in range(200)} | {("p:x", f"o:{i}") for i in range(150)} | {("p:y", f"o:{i}") for i in range(0, 150, 2)}
+    table = spark.createDataFrame([*edges, *list(edges)[:9], (None, "o:1"), ("p:1", None)], "from string, to string")
+    held = {}
+    for p, o in edges:
+        held.setdefault(p, set()).add(o)
+    expected = {}
+    for boards in held.values():
+        for a in boards:
+            for b in boards:
+                if a < b:
+                    expected[a, b] = expected.get((a, b), 0) + 1
+    for tile in (8, 512):
+        assert {(r.org_a, r.org_b): r.shared for r in graph.projection(table, tile).collect()} == expected
+    assert {(r["from"], r._tiles) for r in graph.heavy(table.distinct(), "from", 64).collect()} == {("p:x", 3), ("p:y", 2)}
+    persons = [role(org_nr=str(i), person_id="common") for i in range(700)] + [role(org_nr="5", person_id="q"), role(org_nr="9000", person_id="q"), role(org_nr="9001", person_id="r")]
+    table = spark.createDataFrame(persons, schema.ROLES)
+    seeds, names = spark.createDataFrame([("5",)], "org_nr string"), spark.createDataFrame([("1", "One")], "org_nr string, name string")
+    nodes, edges = graph.interlocks(seeds, table, seeds, names)
+    assert nodes.count() == 700 and edges.count() == 700 and {r.node_id for r in nodes.collect()} == {f"o:{i}" for i in range(700) if i != 5} | {"o:9000"}
+
+
+def merged(table, code, day, target):
+    """A code's merger from ``day`` on, followed one by one."""
+    steps, name, at = 0, None, day
+    while steps < 50:
+        further = sorted((d, t, n) for s, t, n, d in table if s == code and at <= d <= target)
+        if not further:
+            return code, name, False
+        at, code, name = further[0]
+        steps += 1
+    return code, name, any(s == code and at <= d <= target for s, t, n, d in table)
+
+
+def test_codes_merged_more_than_once(spark):
+    rnd = random.Random(5)
+    day = lambda y: datetime.date(y, 1, 1)
+    table = [(rnd.choice("ABCDEFGH"), t, f"name {t}", day(2010 + rnd.randrange(10))) for t in (rnd.choice("BCDEFGHIJ") for _ in range(12))]
+    table += [("x", "y", "Y", day(2015)), ("y", "x", "X", day(2015)), ("m", "n", "N", day(2012)), ("n", "m", "M", day(2014))]
+    shape = "source_code string, target_code string, target_name string, valid_from date"
+    merges = spark.createDataFrame([*table, (None, "A", "a", day(2011)), ("A", None, "a", day(2011)), ("A", "Z", "z", None)], shape)
+    codes = [(c, d) for c in [*"ABCDEFGHIxymn", None, "unknown"] for d in (None, day(2013), day(2016))]
+    df = spark.createDataFrame([(c, d, "k") for c, d in codes], "municipality_code string, used date, source_code string")
+    for target in (day(2016), day(2030)):
+        got = label.harmonize_merged(df, merges, target, as_of="used").collect()
+        assert len(got) == len(codes)
+        for r in got:
+            code, name, cyclic = merged(table, r.municipality_code, r.used or datetime.date(1, 1, 1), target) if r.municipality_code else (None, None, False)
+            assert r.municipality_code_cyclic == cyclic
+            if not cyclic:
+                assert (r.municipality_code_harmonized, r.municipality_code_target_name) == (code, name), r
+    assert label.harmonize_merged(df, merges, day(2030)).where("municipality_code = 'm' AND municipality_code_harmonized = 'm'").count() == 3
+    assert label.harmonize_merged(df, merges.limit(0), day(2030)).where("municipality_code_harmonized <=> municipality_code").count() == len(codes)
+
+
 def test_lookup(spark):
     main = spark.createDataFrame([("923609016", "Main")], "org_nr string, name string")
     sub = spark.createDataFrame([("984851006", "Sub")], "org_nr string, name string")
