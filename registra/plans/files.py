@@ -22,8 +22,11 @@ from .registry import ORACLE_SQL, register
 
 
 def folder(spark: SparkSession, label: str) -> str:
-    """A new folder under spark.checkpoint.dir, or a temporary one where that is unset, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="registra-")
+    """A new folder under spark.checkpoint.dir; where that is unset, a temporary one, but never on a cluster."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    shared = shared or "file://" + tempfile.mkdtemp(prefix="registra-")
     return f"{shared.rstrip('/')}/registra-files/{label}-{uuid.uuid4().hex}"
 
 

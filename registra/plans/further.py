@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries, exprs, schema
-from ..operators import changes, diff, drift, governance, graph, label, lookup, panel
+from ..operators import changes, diff, drift, governance, graph, label, lookup, panel, replay
 from . import adapters as A
 from .files import folder
-from .registry import register
+from .registry import ORACLE_SQL, register
 
 # lookups
 
@@ -306,3 +306,41 @@ def changes_by_kind(spark, sf):
     """by kind of change"""
     out = changes.changes(A.changelog(spark, sf), registry="roller", change_type=("entry", "exit"))
     return out.select("timestamp", "org_nr", "change_type", "field", "update_id")
+
+
+# many dates, chains of mergers, empty tables
+
+_PANEL_DATES = tuple(f"2024-01-{d:02d}" for d in range(3, 27, 2))
+_WHOLE = ORACLE_SQL["replay_asof"]
+
+
+@register(" UNION ALL ".join(f"SELECT *, DATE '{d}' AS target_date FROM ({_WHOLE.replace('2024-01-21', d)})" for d in _PANEL_DATES))
+def replay_panel(spark, sf):
+    """Twelve dates in one pass over the feed"""
+    return replay.replay_dates(A.base(spark, sf), A.cdc(spark, sf), _PANEL_DATES)
+
+
+@register(
+    """SELECT e.org_nr, e.municipality_code, coalesce(w.target_code, e.municipality_code) AS municipality_code_harmonized, w.target_name AS municipality_code_target_name FROM entities e
+    LEFT JOIN (SELECT source_code, arg_max(target_code, steps) AS target_code, arg_max(target_name, steps) AS target_name FROM walk GROUP BY source_code) w ON w.source_code = e.municipality_code""",
+    "RECURSIVE " + A.ENTITIES,
+    """merges AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS source_code, lpad(CAST(n_nationkey + 1 AS VARCHAR), 4, '0') AS target_code, concat('after ', n_name) AS target_name,
+      CAST(DATE '2000-01-01' + n_nationkey * 30 AS DATE) AS valid_from FROM nation WHERE n_nationkey % 5 <> 4)""",
+    """walk AS (SELECT source_code, target_code, target_name, valid_from, 1 AS steps FROM merges WHERE valid_from <= DATE '2001-06-01'
+      UNION ALL SELECT w.source_code, m.target_code, m.target_name, m.valid_from, w.steps + 1 FROM walk w JOIN merges m ON m.source_code = w.target_code AND m.valid_from >= w.valid_from AND m.valid_from <= DATE '2001-06-01')""",
+)
+def harmonize_chains(spark, sf):
+    """L4: municipalities merged several times reach their present code"""
+    n, code = F.col("n_nationkey"), lambda c: F.lpad(c.cast("string"), 4, "0")
+    merges = A.table(spark, sf, "nation").where(n % 5 != 4).select(
+        code(n).alias("source_code"), code(n + 1).alias("target_code"), F.concat(F.lit("after "), "n_name").alias("target_name"), F.date_add(F.lit("2000-01-01").cast("date"), (n * 30).cast("int")).alias("valid_from")
+    )
+    held = A.entities(spark, sf).select("org_nr", "municipality_code")
+    return label.harmonize_merged(held, merges, "2001-06-01").drop("municipality_code_cyclic")
+
+
+@register("SELECT * FROM (SELECT \"timestamp\", org_nr, registry, change_type, field, value_to, update_id FROM changelog) UNION ALL SELECT \"timestamp\", org_nr, registry, change_type, field, value_to, update_id FROM changelog WHERE false", A.CHANGELOG)
+def empty_changelog(spark, sf):
+    """A typed table without rows joins any other by name"""
+    rows = A.changelog(spark, sf).drop("sync_date")
+    return schema.empty(spark, schema.CHANGELOG).unionByName(rows, allowMissingColumns=True).drop("value_from")

@@ -85,6 +85,23 @@ def test_role_changes(spark):
     assert rows(diff.role_key(table(role(), auditor("987654321"))), "role_key") == [("111|REVI|REVI|entity:987654321",), ("111|STYR|LEDE|1951-07-16_aarrestad_jan_",)]
 
 
+def test_unknown_holders_across_extracts(spark):
+    """One that goes is one exit, whoever comes before it; of alike ones as many go as there are fewer."""
+    unknown = lambda **k: role(person_id=None, birth_date=None, last_name=None, **k)
+    table = lambda *r: spark.createDataFrame(list(r), schema.ROLES)
+    held = [unknown(first_name=n, ordering=i) for i, n in enumerate(["A", "B", "C", "C", "C", None, None])] + [unknown(org_nr="222", first_name="A"), role()]
+    for n in range(len(held)):
+        out = diff.role_changes(table(*held), table(*held[:n], *held[n + 1 :]), "t").collect()
+        assert {r.change_type for r in out} == {"exit"} and len({r.role_key for r in out}) == 1
+        assert sum(r.field == "role" for r in out) == 1
+        back = diff.role_changes(table(*held[:n], *held[n + 1 :]), table(*held), "t").collect()
+        assert {r.change_type for r in back} == {"entry"} and sorted(r.field for r in back) == sorted(r.field for r in out)
+    alike = [unknown(first_name="C")] * 5
+    out = diff.role_changes(table(*alike, role()), table(*alike[:2], role()), "t").where("field = 'role'").collect()
+    assert [r.change_type for r in out] == ["exit"] * 3
+    assert diff.role_changes(table(*alike, *held), table(*held[::-1], *alike), "t").count() == 0
+
+
 def test_board_and_survival(spark):
     table = spark.createDataFrame([role(), role(role_code="MEDL", elected_by="AREP", person_id="x"), role(role_code="VARA", resigned=True, person_id="y"), role(role_group_code=None, person_id="z")], schema.ROLES)
     one = governance.board_summary(table).first()
