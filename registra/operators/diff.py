@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -31,7 +30,8 @@ def _told(pair: str, *names: str) -> list[Column]:
 def _differences(both: DataFrame, columns: Sequence[str], kinds: tuple[dict, dict]) -> DataFrame:
     """A row with ``_pair`` [field, value_from, value_to] for each column in which ``old`` and ``new`` differ as text.
 
-    Plain columns and arrays of texts, no structs: where fields of structs meet an explode, Spark's pruning of them, as
+    No filter before the explode, which the optimizer would multiply where one side is empty; and plain columns and arrays
+    of texts, no structs: where fields of structs meet an explode, Spark's pruning of them, as
     a mere count of the rows asks for it, copies expressions until memory ends.
     """
     text = lambda side, c: F.col(f"_{side}_{c}").cast("string")
@@ -39,7 +39,7 @@ def _differences(both: DataFrame, columns: Sequence[str], kinds: tuple[dict, dic
     if not differ:
         return both.where("false").withColumn("_pair", F.lit(None).cast("array<string>"))
     pairs = [F.when(differ[c], F.array(F.lit(c), shown(f"_old_{c}", kinds[0][c]), shown(f"_new_{c}", kinds[1][c]))) for c in columns]
-    return both.where(reduce(Column.__or__, differ.values())).withColumn("_pair", F.explode(F.array(*pairs))).where("_pair IS NOT NULL")
+    return both.withColumn("_pair", F.explode(F.array(*pairs))).where("_pair IS NOT NULL")
 
 
 def _joined(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
