@@ -110,25 +110,75 @@ def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, per
     return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long, link boolean, d double")
 
 
-def _settle(unsettled: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int, tile: int = 256) -> DataFrame:
+def overlaps(xs: list, ys: list, abreast: int = 4096):
+    """Sizes of the intersections of all sets ``xs`` (sorted distinct hashes) with all sets ``ys``, as a matrix.
+
+    Hashes that many sets hold are counted by products of incidence matrices, ``abreast`` at a time, the others pair
+    by pair of the sets that hold them.
+    """
+    import numpy as np
+
+    out = np.zeros((len(xs), len(ys)), np.int64)
+    hash_x, hash_y = np.concatenate([*xs, np.empty(0, np.uint64)]), np.concatenate([*ys, np.empty(0, np.uint64)])
+    both = np.intersect1d(hash_x, hash_y)
+    if not len(both):
+        return out
+
+    def held(hashes, sets):
+        at = np.minimum(np.searchsorted(both, hashes), len(both) - 1)
+        real = both[at] == hashes
+        column, row = at[real], np.repeat(np.arange(len(sets)), [len(s) for s in sets])[real]
+        order = np.argsort(column, kind="stable")
+        return column[order], row[order]
+
+    (col_x, row_x), (col_y, row_y) = held(hash_x, xs), held(hash_y, ys)
+    n_x, n_y = np.bincount(col_x, minlength=len(both)), np.bincount(col_y, minlength=len(both))
+    common_ones = n_x * n_y > 256
+    place = np.cumsum(common_ones) - 1
+    n_common = int(common_ones.sum())
+    abreast = max(1, min(abreast, n_common))
+    for at in range(0, n_common, abreast):
+        sides = []
+        for col, row, n in ((col_x, row_x, len(xs)), (col_y, row_y, len(ys))):
+            here = common_ones[col] & (place[col] >= at) & (place[col] < at + abreast)
+            side = np.zeros((n, abreast), np.float32)
+            side[row[here], place[col[here]] - at] = 1
+            sides.append(side)
+        out += (sides[0] @ sides[1].T).astype(np.int64)
+    rare = ~common_ones[col_x]
+    col, row, first = col_x[rare], row_x[rare], np.cumsum(n_y) - n_y
+    for at in range(0, len(col), 16_384):
+        c, r = col[at : at + 16_384], row[at : at + 16_384]
+        times = n_y[c]
+        step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        other = row_y[np.repeat(first[c], times) + step]
+        out += np.bincount(np.repeat(r, times) * len(ys) + other, minlength=out.size).reshape(out.shape)
+    return out
+
+
+def _settle(unsettled: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int, tile: int = 256, tile_bytes: int = 1 << 24) -> DataFrame:
     """Links (a, b) across components among documents that share buckets with one smallest id.
 
-    Documents outside that one's component are compared with all others, in tiles of a bounded number of rows; no
+    Documents outside that one's component are compared with all others, each pair under the least of the smallest
+    ids that both meet. They meet in tiles of a bounded number of rows, and of bytes but for single longer texts; no
     pair leaves a task unless it is a link, and one link between a document and a component is enough.
     """
-    home = F.max(F.when(F.col("id") == F.col("a"), F.col("component")))
-    homes = unsettled.groupBy("a").agg(home.alias("home"), F.count("*").alias("n"))
-    rows = unsettled.join(homes, "a").withColumn("stray", F.col("component") != F.col("home"))
-    strays = rows.where("stray").groupBy("a").agg(F.count("*").alias("n_strays"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(unsettled.select("id").distinct(), "id", "left_semi")
     texts = common.materialize(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
-    rows = rows.join(strays, "a").join(reps.select("id", "signature"), "id").join(texts, "id")
-    rows = rows.withColumns({"across": F.ceil(F.col("n") / (2 * tile)).cast("int"), "down": F.ceil(F.col("n_strays") / tile).cast("int")})
+    mets = unsettled.groupBy("id").agg(F.array_sort(F.collect_set("a")).alias("mets"))
+    sized = unsettled.join(texts.select("id", F.octet_length("text").cast("long").alias("bytes")), "id")
+    home = F.max(F.when(F.col("id") == F.col("a"), F.col("component")))
+    homes = sized.groupBy("a").agg(home.alias("home"), F.count("*").alias("n"), F.sum("bytes").alias("n_bytes"))
+    rows = sized.join(homes, "a").withColumn("stray", F.col("component") != F.col("home"))
+    strays = rows.where("stray").groupBy("a").agg(F.count("*").alias("n_strays"), F.sum("bytes").alias("stray_bytes"))
+    rows = rows.join(strays, "a").join(reps.select("id", "signature", "n_shingles"), "id").join(mets, "id").join(texts, "id")
+    parts = lambda n, size, most: F.ceil(F.greatest(F.col(n) / most, F.col(size) / tile_bytes)).cast("int")
+    rows = rows.withColumns({"across": parts("n", "n_bytes", 2 * tile), "down": parts("n_strays", "stray_bytes", tile)})
     place = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = rows.where("stray").withColumn("i", place("down")).withColumn("j", every("across")).withColumn("side", F.lit(0))
     right = rows.withColumn("j", place("across")).withColumn("i", every("down")).withColumn("side", F.lit(1))
-    columns = ["a", "i", "j", "side", "id", "component", "stray", "d", "signature", "text"]
+    columns = ["a", "i", "j", "side", "id", "component", "stray", "d", "n_shingles", "signature", "mets", "text"]
     reach = 1 - percent / 100
     chance = 2.0**-BITS
     least = HASHES * ((percent / 100 - 4 * (percent / 100 * reach / HASHES) ** 0.5) * (1 - chance) + chance)
@@ -136,36 +186,38 @@ def _settle(unsettled: DataFrame, reps: DataFrame, docs: DataFrame, width: int,
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
 
-        def minima(part):
+        def lows(part):
+            """A column for each value that the low bits of each minimum can have."""
             packed = np.stack(part["signature"].to_numpy()).view(np.uint8)
-            return np.concatenate([packed & 15, packed >> 4], axis=1)
+            each = np.concatenate([packed & 15, packed >> 4], axis=1)
+            return (each[:, :, None] == np.arange(1 << BITS, dtype=np.uint8)).reshape(len(each), -1).astype(np.float32)
 
-        x, y, found = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].reset_index(drop=True), []
+        x, y = pdf[pdf["side"] == 0].reset_index(drop=True), pdf[pdf["side"] == 1].reset_index(drop=True)
+        none = pd.DataFrame({"a": [], "b": []})
         if not len(x) or not len(y):
-            return pd.DataFrame({"a": [], "b": []})
-        theirs, sets = minima(y), {}
-        component, ids, dy, stray = (y[c].to_numpy() for c in ("component", "id", "d", "stray"))
-        for k, mine in enumerate(minima(x)):
-            row = x.iloc[k]
-            equal = (theirs == mine).sum(axis=1)
-            # of two strays of one tile, the smaller id compares
-            ask = (equal >= least) & (component != row["component"]) & ~(stray & (ids < row["id"]))
-            ask &= np.isnan(dy.astype(float)) | (abs(dy.astype(float) - row["d"]) <= reach + 1e-9) if row["d"] == row["d"] and row["d"] is not None else True
-            done = set()
-            for at in sorted(np.nonzero(ask)[0], key=lambda t: -equal[t]):
-                if component[at] in done:
-                    continue
-                for key, text in ((row["id"], row["text"]), (ids[at], y["text"][at])):
-                    if key not in sets:
-                        sets[key] = shingle_set(text, width)
-                one, two = sets[row["id"]], sets[ids[at]]
-                shared = len(np.intersect1d(one, two, assume_unique=True))
-                if 100 * shared >= percent * (len(one) + len(two) - shared):
-                    done.add(component[at])
-                    found.append((row["id"], ids[at]))
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return left.select(*columns).unionByName(right.select(*columns)).groupBy("a", "i", "j").applyInPandas(compare, "a long, b long")
+            return none
+        col = lambda c, kind: (x[c].to_numpy(kind)[:, None], y[c].to_numpy(kind)[None, :])
+        (id_x, id_y), (home_x, home_y), (n_x, n_y), (d_x, d_y) = col("id", np.int64), col("component", np.int64), col("n_shingles", np.int64), col("d", np.float64)
+        # of two strays, the smaller id compares
+        ask = (home_x != home_y) & ~(y["stray"].to_numpy(bool)[None, :] & (id_y < id_x))
+        ask &= ~(abs(d_x - d_y) > reach + 1e-9) & (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y))
+        ask &= lows(x) @ lows(y).T >= least
+        a = pdf["a"].iloc[0]
+        before = [[np.asarray(m)[np.asarray(m) < a].astype(np.int64).view(np.uint64) for m in part["mets"]] for part in (x, y)]
+        ask &= overlaps(*before) == 0
+        rows, cols = np.nonzero(ask.any(axis=1))[0], np.nonzero(ask.any(axis=0))[0]
+        if not len(rows):
+            return none
+        xs, ys = ([shingle_set(t, width) for t in part["text"].to_numpy()[chosen]] for part, chosen in ((x, rows), (y, cols)))
+        shared = overlaps(xs, ys)
+        union = np.array([len(s) for s in xs])[:, None] + np.array([len(s) for s in ys])[None, :] - shared
+        r, c = np.nonzero(ask[np.ix_(rows, cols)] & (100 * shared >= percent * union))
+        found = pd.DataFrame({"a": id_x[rows[r], 0], "b": id_y[0, cols[c]], "component": home_y[0, cols[c]]})
+        return found.drop_duplicates(["a", "component"])[["a", "b"]]
+
+    # a tile is small but its work is not: a stated number of partitions is not coalesced by their sizes
+    tiles = left.select(*columns).unionByName(right.select(*columns)).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "i", "j")
+    return tiles.groupBy("a", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 @common.written("components")

@@ -214,6 +214,29 @@ def test_minhash_strays(spark):
     assert [out[i] for i in range(60)] == components(60, links)
 
 
+def test_minhash_templates(spark):
+    """A family of one template whose members are no links of each other, among which some have near-copies."""
+    r = random.Random(5)
+    texts = []
+    for _ in range(700):
+        w = [f"w{i}" for i in range(200)]
+        for k in range(15):
+            w[13 * k + 3] = f"z{r.getrandbits(40)}"
+        texts.append(w)
+    texts += [[*texts[7 * i][:-1], f"copy{i}"] for i in range(30)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    out = {x.doc_id: x.component_id for x in minhash.near_duplicates(df, 2).collect()}
+    assert out == {i: i if i < 700 else 7 * (i - 700) for i in range(730)}
+
+
+@given(st.lists(st.sets(st.integers(0, 60)), max_size=30), st.lists(st.sets(st.integers(0, 60)), max_size=30), st.integers(1, 9))
+@settings(max_examples=60, deadline=None)
+def test_overlaps_are_those_of_the_sets(xs, ys, abreast):
+    as_hashes = lambda sets: [np.array(sorted(s), np.uint64) for s in sets]
+    found = minhash.overlaps(as_hashes(xs), as_hashes(ys), abreast)
+    assert found.shape == (len(xs), len(ys)) and found.tolist() == [[len(x & y) for y in ys] for x in xs]
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (5, 5), (4, 1), *[(100 + i, 101 + i) for i in range(40)]]
     out = {r.id: r.component for r in common.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
