@@ -18,6 +18,8 @@ ABREAST = 8
 #: A sketch adds up 96 lanes of +1 and -1, three in a word of 21 bits each, for half the words from either hash.
 WORDS, LANES, DEVIATIONS = 32, 3, 4.0
 PIVOTS = 8
+#: Lines of a bucket that are compared with each other directly.
+DIRECT = 64
 
 
 def _masks(n: int) -> list[int]:
@@ -109,12 +111,38 @@ def _confirmed(pairs: DataFrame, known: DataFrame, width: int, percent: int) ->
     return one.join(two, "a").where(_may("x", "y", percent) & _linked("x", "y", width, percent)).select("a", "b")
 
 
+def _rare_pairs(lines: DataFrame, width: int, percent: int, tile: int = 512) -> DataFrame:
+    """Pairs (a, b) that may be linked among rows (id, line, n, component, met), in other components and in one of the
+    same buckets ``met``.
+
+    Shingles stand in one order for all lines, the rarest first. The first that two lines share ends what they can
+    have in common: the rest of either line from there on. So lines that keep many shingles for themselves meet
+    none of their template. Of each line only the shingles that can be such a first one are joined; those that more
+    than ``tile`` lines bring are joined in tiles.
+    """
+    each = lines.select("id", F.explode(_shingles(width)).alias("h"))
+    held = each.join(each.groupBy("h").agg(F.count("*").alias("f")), "h")
+    held = held.withColumn("at", F.row_number().over(W.partitionBy("id").orderBy("f", "h")) - 1)
+    held = held.join(lines.select("id", "n", "component", "met"), "id").where(f"f > 1 AND 100 * (n - at) >= {percent} * n")
+    held = common.materialize(held.drop("f"), "rare")
+    times = held.groupBy("h").agg(F.ceil(F.count("*") / tile).cast("int").alias("t"), F.count("*").alias("k"))
+    held = held.join(times.where("k > 1").drop("k"), "h")
+    place, every = F.pmod(F.xxhash64("id"), F.col("t")).cast("int"), F.explode(F.expr("sequence(0, t - 1)"))
+    x, y = held.withColumn("i", place).withColumn("j", every), held.withColumn("j", place).withColumn("i", every)
+    once = F.expr("x.h = y.h AND x.i = y.i AND x.j = y.j AND x.id < y.id AND x.component != y.component")
+    close = F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+    reach = F.expr(f"{100 + percent} * least(x.n - x.at, y.n - y.at) >= {percent} * (x.n + y.n)")
+    met = x.alias("x").join(y.alias("y"), once & close & reach & F.expr("arrays_overlap(x.met, y.met)"))
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
 def _settled(rows: DataFrame, items: DataFrame, known: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) across components among rows (band, id, component) of one band.
 
     Every line is first compared with a few others of its bucket; what these links join needs no comparison. Those
     that still lie apart are compared by the sketches, each pair in the first of the bands they share, and by the sets
-    where the sketches leave a link open; no pair leaves the join unless it is a link.
+    where the sketches leave a link open; no pair leaves the join unless it is a link. In buckets of more than
+    ``DIRECT`` lines, only pairs that share a rare shingle are, by _rare_pairs().
     """
     slot = F.pmod(F.xxhash64("id"), F.lit(PIVOTS)).alias("slot")
     pivots = rows.groupBy("band", slot).agg(F.min("id").alias("p"), F.min_by("component", "id").alias("c"))
@@ -127,16 +155,23 @@ def _settled(rows: DataFrame, items: DataFrame, known: DataFrame, width: int, pe
     merged = common.connected_components(joined).select(F.col("id").alias("component"), F.col("component").alias("m"))
     rows = rows.select("band", "id", "component").join(merged, "component", "left")
     rows = rows.select("band", "id", F.coalesce("m", "component").alias("component"))
-    apart = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rows = rows.join(apart.select("band"), "band").join(known, "id").join(items, "id")
-    rows = common.materialize(rows.select("band", "id", "component", "bands", "line", "n", "sketch"), "apart")
+    apart = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n_lines")).where("low < high")
+    rows = common.materialize(rows.join(apart.select("band", "n_lines"), "band"), "apart")
+
+    few = rows.where(f"n_lines <= {DIRECT}").join(known, "id").join(items, "id")
+    few = few.select("band", "id", "component", "bands", "line", "n", "sketch")
     once = F.expr("x.band = y.band AND x.id < y.id AND x.component != y.component")
     first = F.expr("get(array_intersect(x.bands, y.bands), 0) = x.band")
-    rest = rows.alias("x").join(rows.alias("y"), once & first & _may("x", "y", percent) & _linked("x", "y", width, percent))
+    rest = few.alias("x").join(few.alias("y"), once & first & _may("x", "y", percent) & _linked("x", "y", width, percent))
     rest = common.materialize(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "links")
-    for used in (pairs, rows):
+
+    many = rows.where(f"n_lines > {DIRECT}").groupBy("id").agg(F.min("component").alias("component"), F.collect_set("band").alias("met"))
+    many = common.materialize(many.join(known.select("id", "line", "n"), "id"), "many")
+    rare = common.materialize(_rare_pairs(many, width, percent), "pairs")
+    more = common.materialize(_confirmed(rare, known, width, percent), "links")
+    for used in (pairs, rows, many, rare):
         common.discard(used)
-    return found.unionByName(rest)
+    return found.unionByName(rest).unionByName(more)
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:

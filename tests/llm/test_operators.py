@@ -324,6 +324,22 @@ def test_families_without_links_and_with_chains(spark):
     assert out == {i: int(want[i] == i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("direct", [2, 64])
+def test_templated_lines(spark, monkeypatch, direct):
+    """Lines of one template that keep a fifth, or just less, for themselves; some have near-copies that no first
+    line of a bucket leads to."""
+    monkeypatch.setattr(lines, "DIRECT", direct)
+    r = random.Random(12)
+    base = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(120))
+    own = lambda n: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    texts = [base[:60] + own(n) + base[60:] for n in (8, 12) for _ in range(90)]
+    texts += [texts[4 * i] + own(2) for i in range(30)]
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if _jaccard(texts[i], texts[j]) >= 0.8]
+    want = components(len(texts), linked)
+    out = {r.doc_id: r.n_kept for r in lines.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert out == {i: int(want[i] == i) for i in range(len(texts))}
+
+
 def test_similar_short_lines_are_found(spark):
     """Lines that differ in a few characters only, against brute force: at most one pair in 100 is lost."""
     r, pairs = random.Random(11), []
