@@ -525,10 +525,24 @@ def prevalence_top_segment(spark, sf):
     return drift.top_segment(_prevalence(spark, sf))
 
 
-@register()
+#: Bisections of both tails at once; ``u``, ``s`` and ``t`` turn what lies above the mean around.
+_BISECTED = """q AS (SELECT row_number() OVER () AS id, *, k + 0.5 AS a, n - k + 0.5 AS b, lgamma(n + 1.0) - lgamma(k + 0.5) - lgamma(n - k + 0.5) AS front FROM p, (SELECT unnest([0.025, 0.975]) AS tail)),
+ r AS (SELECT id, 0 AS i, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high FROM q UNION ALL
+  SELECT id, i + 1, CASE WHEN share < tail THEN mid ELSE low END, CASE WHEN share < tail THEN high ELSE mid END FROM (
+   SELECT *, CASE WHEN upper THEN 1 - part ELSE part END AS share FROM (
+    SELECT *, exp(front + s * ln(u) + t * ln(1 - u)) / s / list_reduce(list_prepend(CAST(1 AS DOUBLE), list_transform(range(400), lambda x: CAST(400 - x AS DOUBLE))),
+      lambda f, j: 1 + CASE WHEN j % 2 = 0 THEN (j / 2) * (t - j / 2) / ((s + j - 1) * (s + j)) ELSE -(s + (j - 1) / 2) * (s + t + (j - 1) / 2) / ((s + j - 1) * (s + j)) END * u / f) AS part FROM (
+     SELECT *, CASE WHEN upper THEN 1 - mid ELSE mid END AS u, CASE WHEN upper THEN b ELSE a END AS s, CASE WHEN upper THEN a ELSE b END AS t FROM (
+      SELECT *, mid > (a + 1) / (a + b + 2) AS upper FROM (SELECT r.id, i, low, high, (low + high) / 2 AS mid, tail, front, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b FROM r JOIN q USING (id) WHERE i < 50))))))"""
+
+
+@register(
+    """SELECT segment, path, k, n, (k + 0.5) / (n + 1) AS theta, round(max((low + high) / 2) FILTER (tail < 0.5), 8) AS theta_low, round(max((low + high) / 2) FILTER (tail > 0.5), 8) AS theta_high
+    FROM q JOIN r USING (id) WHERE i = 50 GROUP BY segment, path, k, n""", "RECURSIVE " + A.ENTITIES, _PREVALENCE, _BISECTED,
+)
 def prevalence_interval(spark, sf):
-    """Jeffreys' interval; tests hold it against the distribution's definition"""
-    return drift.with_interval(_prevalence(spark, sf))
+    """Jeffreys' interval, bounds to eight places"""
+    return drift.with_interval(_prevalence(spark, sf)).withColumns({c: F.round(c, 8) for c in ("theta_low", "theta_high")})
 
 
 @register("SELECT ts, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE), event_type ORDER BY event_id) AS r FROM events) WHERE r <= 5")

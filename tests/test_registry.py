@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import math
 import random
 
 import pytest
@@ -429,9 +430,33 @@ def test_lookup(spark):
         lookup.entity("123456789", main, sub)
 
 
+def test_intervals(spark):
+    """Quantiles against known ones, and the density's integral up to them by Simpson's rule."""
+    cases = [(2.0, 2.0), (1.0, 1.0), (5.5, 0.5), (0.5, 5.5), (3.5, 97.5), (40.5, 60.5), (4000.5, 96000.5), (500000.5, 500000.5)]
+    levels = (0.025, 0.5, 0.975)
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(cases)], "i int, a double, b double").repartition(4)
+    found = {r.i: r for r in df.select("i", *[drift.beta_quantile(p, F.col("a"), F.col("b")).alias(f"q{k}") for k, p in enumerate(levels)]).collect()}
+    assert abs(found[0].q1 - 0.5) < 1e-9 and abs(found[1].q2 - 0.975) < 1e-9 and abs(found[2].q0 - 0.6206) < 2e-3
+    for i, (a, b) in enumerate(cases):
+        if min(a, b) < 1:
+            continue
+        log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+        density = lambda x: math.exp(log_front + (a - 1) * math.log(x) + (b - 1) * math.log1p(-x)) if 0 < x < 1 else float(a == b == 1)
+        for p, q in zip(levels, found[i][1:]):
+            low = max(0.0, q - 12 * math.sqrt(a * b / (a + b + 1)) / (a + b))
+            h = (q - low) / 20_000
+            total = sum((1, 4, 2)[0 if k in (0, 20_000) else 1 + (k % 2 == 0)] * density(low + k * h) for k in range(20_001)) * h / 3
+            assert abs(total - p) < 1e-6, (a, b, p)
+    for x, y in ((2, 3), (3, 2)):
+        for p, q in ((0, 2), (1, 1), (2, 0)):
+            assert abs(found[x][1 + p] - (1 - found[y][1 + q])) < 1e-9
+    rows_ = spark.createDataFrame([(0, 10), (10, 10), (0, 0), (None, 10)], "k long, n long").repartition(2)
+    out = {(r.k, r.n): r for r in drift.with_interval(rows_).collect()}
+    assert out[(0, 10)].theta_low < 1e-4 and out[(10, 10)].theta_high > 1 - 1e-4 and out[(None, 10)].theta_low is None
+    assert abs(out[(0, 0)].theta_low + out[(0, 0)].theta_high - 1) < 1e-9
+
+
 def test_drift(spark):
-    assert abs(drift.beta_quantile(0.5, 2, 2) - 0.5) < 1e-9 and abs(drift.beta_quantile(0.975, 1, 1) - 0.975) < 1e-9
-    assert abs(drift.beta_quantile(0.025, 5.5, 0.5) - 0.6206) < 2e-3
     before = spark.createDataFrame([("AS", "a", 9, 10), ("AS", "b", 1, 10)], "segment string, path string, k long, n long")
     now = spark.createDataFrame([("AS", "c", 3, 10)], "segment string, path string, k long, n long")
     assert rows(drift.drifted(before, now)) == [("new", "AS", "c"), ("removed", "AS", "a")]
