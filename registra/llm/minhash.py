@@ -88,7 +88,8 @@ def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, per
     pairs = pairs.join(of("b"), "b").join(of("a"), "a").where(close & likely(F.col("s_a"), F.col("s_b"), percent / 100))
     pairs = common.materialize(pairs.select("a", "b"), "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
+    # ids that grow with the corpus are merged with it at every size, never broadcast
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id", "left_semi")
     texts = common.materialize(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
 
@@ -163,7 +164,7 @@ def _settle(unsettled: DataFrame, reps: DataFrame, docs: DataFrame, width: int,
     ids that both meet. They meet in tiles of a bounded number of rows, and of bytes but for single longer texts; no
     pair leaves a task unless it is a link, and one link between a document and a component is enough.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(unsettled.select("id").distinct(), "id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(unsettled.select("id").distinct().hint("merge"), "id", "left_semi")
     texts = common.materialize(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
     mets = unsettled.groupBy("id").agg(F.array_sort(F.collect_set("a")).alias("mets"))
     sized = unsettled.join(texts.select("id", F.octet_length("text").cast("long").alias("bytes")), "id")
