@@ -207,14 +207,14 @@ def feed_after_cursor(spark, sf):
 
 @register("SELECT update_id, org_nr, change_type FROM cdc WHERE update_id > 1234", A.CDC)
 def feed_polled(spark, sf):
-    """A stream of polls from within a page, two pages each, started anew until nothing is left"""
+    """A stream of polls from within a page, two pages each and 256 a batch, started anew until nothing is left"""
     pages, out = folder(spark, "polled-pages"), folder(spark, "polled")
     events = _entity_events(spark, sf).drop("ts")
     paging.write_pages(events, pages, 2500)
     polled = True
     while polled:
         batches = []
-        rows = paging.read_events(spark, pages, 1234, 2, streaming=True)
+        rows = paging.read_events(spark, pages, 1234, 2, streaming=True, polls=256)
         write = rows.writeStream.foreachBatch(lambda batch, n: (batch.write.mode("overwrite").parquet(f"{out}/rows/batch={n}"), batches.append(n)))
         write.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
         polled = bool(batches)

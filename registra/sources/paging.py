@@ -1,8 +1,9 @@
 """A change feed in stored pages as a streaming source, whose offsets are event ids.
 
 A page is a file of JSON lines named by its first and last event id, and holds all events between them. The driver
-lists names only; each page that a batch needs is read by a task of its own, and its lines are parsed in the JVM. A
-batch takes at most so many pages from where the last one ended, which may lie within a page.
+lists names only; the pages that a batch needs are read by tasks, and their lines are parsed in the JVM. A poll takes
+at most so many pages from where the last one ended, which may lie within a page; a batch is one poll, or several, so
+that catching up with a long feed doesn't cost a batch for every few pages.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .updates import EVENT
 #: A poll from the beginning of a feed takes so many pages, unless told otherwise, and not the whole history.
 FIRST_PAGES = 5
 PAGE_SIZE = 10_000
+#: A batch is read by so many tasks at most, each of them reading neighbouring pages.
+MOST_TASKS = 64
 _NAME = re.compile(r"(\d{1,20})-(\d{1,20})\.jsonl")
 
 
@@ -33,6 +36,19 @@ class PagePart(InputPartition):
     upto: int
 
 
+@dataclass
+class PageParts(InputPartition):
+    """Parts that one task reads, in order."""
+
+    parts: Sequence[PagePart]
+
+
+def dealt(parts: Sequence[PagePart], tasks: int = MOST_TASKS) -> list[PageParts]:
+    """Parts by task: one each, or more where there are more than ``tasks``."""
+    size = max(1, -(-len(parts) // tasks))
+    return [PageParts(parts[i : i + size]) for i in range(0, len(parts), size)]
+
+
 def _file_system(uri: str):
     from pyarrow import fs
 
@@ -60,16 +76,20 @@ def parts_between(pages: Sequence[tuple[int, int, str]], start: int, end: int) -
     return out
 
 
-def poll_end(pages: Sequence[tuple[int, int, str]], start: int, max_pages: int | None) -> int:
+def poll_end(pages: Sequence[tuple[int, int, str]], start: int, max_pages: int | None, polls: int = 1) -> int:
     """The last id of a poll from ``start``: of the ``max_pages``-th page that has something new, or of the last one.
-    Without a number, a poll from 0 takes FIRST_PAGES pages, any other all there are."""
-    limit = FIRST_PAGES if max_pages is None and start == 0 else max_pages
+    Without a number, a poll from 0 takes FIRST_PAGES pages, any other all there are. Of several ``polls``, each begins
+    where the one before it ended."""
+    if max_pages is None:
+        limit = FIRST_PAGES if start == 0 and polls == 1 else None
+    else:
+        limit = max_pages * polls
     parts = parts_between(pages, start, max((last for _, last, _ in pages), default=start))
     return parts[:limit][-1].upto if parts else start
 
 
 class EventPages(DataSource):
-    """``path`` (a folder as pyarrow's file systems name it), ``cursor`` (0: the beginning), ``maxPages`` a poll."""
+    """``path`` (a folder as pyarrow's file systems name it), ``cursor`` (0: the beginning), ``maxPages`` a poll, ``polls`` a batch of a stream."""
 
     @classmethod
     def name(cls) -> str:
@@ -85,17 +105,21 @@ class EventPages(DataSource):
         return _Poll(self.options["path"], self._number("cursor") or 0, self._number("maxPages"))
 
     def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
-        return _Stream(self.options["path"], self._number("cursor") or 0, self._number("maxPages"))
+        return _Stream(self.options["path"], self._number("cursor") or 0, self._number("maxPages"), self._number("polls") or 1)
 
 
 class _Pages:
-    def __init__(self, uri: str, cursor: int, max_pages: int | None):
-        self.uri, self.cursor, self.max_pages = uri, cursor, max_pages
+    def __init__(self, uri: str, cursor: int, max_pages: int | None, polls: int = 1):
+        self.uri, self.cursor, self.max_pages, self.polls = uri, cursor, max_pages, polls
+
+    def read(self, partition: PageParts) -> Iterator:
+        system, _ = _file_system(self.uri)
+        for part in partition.parts:
+            yield from self._lines(system, part)
 
-    def read(self, part: PagePart) -> Iterator:
+    def _lines(self, system, part: PagePart) -> Iterator:
         import pyarrow as pa
 
-        system, _ = _file_system(self.uri)
         with system.open_input_stream(part.path) as stream:
             rest, ended = b"", False
             while not ended:
@@ -109,12 +133,9 @@ class _Pages:
 
 
 class _Poll(_Pages, DataSourceReader):
-    def partitions(self) -> Sequence[PagePart]:
+    def partitions(self) -> Sequence[PageParts]:
         pages = stored_pages(self.uri)
-        return parts_between(pages, self.cursor, poll_end(pages, self.cursor, self.max_pages)) or [PagePart("", 0, 0)]
-
-    def read(self, part: PagePart) -> Iterator:
-        return super().read(part) if part.path else iter(())
+        return dealt(parts_between(pages, self.cursor, poll_end(pages, self.cursor, self.max_pages))) or [PageParts([])]
 
 
 class _Stream(_Pages, DataSourceStreamReader):
@@ -127,13 +148,13 @@ class _Stream(_Pages, DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         start = self.cursor if self.at is None else self.at
-        self.at = poll_end(stored_pages(self.uri), start, self.max_pages)
+        self.at = poll_end(stored_pages(self.uri), start, self.max_pages, self.polls)
         return {"id": self.at}
 
-    def partitions(self, start: dict, end: dict) -> Sequence[PagePart]:
+    def partitions(self, start: dict, end: dict) -> Sequence[PageParts]:
         # after a restart, Spark plans the last batch of its log before it asks for more
         self.at = max(self.at or 0, end["id"])
-        return parts_between(stored_pages(self.uri), start["id"], end["id"])
+        return dealt(parts_between(stored_pages(self.uri), start["id"], end["id"]))
 
     def commit(self, end: dict) -> None:
         self.at = max(self.at or 0, end["id"])
@@ -141,16 +162,16 @@ class _Stream(_Pages, DataSourceStreamReader):
 
 def read_events(
     spark: SparkSession, path: str, cursor: int = 0, max_pages: int | None = None, streaming: bool = False,
-    schema: T.StructType = EVENT
+    schema: T.StructType = EVENT, polls: int = 1
 ) -> DataFrame:
-    """Feed rows past ``cursor``: one poll (S12), or a stream of polls, one a batch.
+    """Feed rows past ``cursor``: one poll (S12), or a stream of polls, ``polls`` a batch.
 
     Each event comes once, whatever pages overlap. ``max_pages`` bounds a poll; without it, one from cursor 0 takes
     FIRST_PAGES pages, so that a first poll doesn't replay the whole history. A stream's checkpoint keeps the id that
     was reached; ``cursor`` only says where a new one begins. The schema's first column is the event's id.
     """
     spark.dataSource.register(EventPages)
-    source = (spark.readStream if streaming else spark.read).format("event_pages").option("path", path).option("cursor", cursor)
+    source = (spark.readStream if streaming else spark.read).format("event_pages").option("path", path).option("cursor", cursor).option("polls", polls)
     rows = (source if max_pages is None else source.option("maxPages", max_pages)).load()
     rows = rows.select("after", "upto", F.from_json("value", schema).alias("_e"))
     event = F.col(f"_e.{schema.fields[0].name}")

@@ -243,6 +243,24 @@ def test_polls_of_stored_pages(spark, tmp_path):
     assert [i for _, found in got for i in found] == [i for i in ids if 150 < i] + list(range(699, 720))
 
 
+def test_several_polls_a_batch(spark, tmp_path):
+    """A batch of several polls ends where so many polls would, and neighbouring pages share tasks."""
+    path, got = f"file://{tmp_path}/pages", []
+    paging.write_pages(feed_rows(spark, range(1, 1001)), path, 10)
+
+    def run(max_pages, cursor, polls):
+        rows = paging.read_events(spark, path, cursor, max_pages, streaming=True, polls=polls)
+        write = rows.writeStream.foreachBatch(lambda batch, n: got.append((ids_of(batch), batch.rdd.getNumPartitions())))
+        write.option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+
+    for polls in (3, 1, 100, 100):
+        run(2, 15, polls)
+    assert [(x[0], x[-1]) for x, _ in got] == [(16, 69), (70, 89), (90, 1000)] and [i for x, _ in got for i in x] == list(range(16, 1001))
+    assert [n for _, n in got] == [6, 2, 46]
+    pages = [(10 * i, 10 * i + 9, "") for i in range(10)]
+    assert [paging.poll_end(pages, 0, None, polls) for polls in (1, 2)] == [49, 99] and paging.poll_end(pages, 49, None) == 99
+
+
 def test_sync_of_stored_pages(spark, tmp_path):
     store, path = Store(spark, f"file://{tmp_path}/store"), f"file://{tmp_path}/pages"
     sync.bootstrap(store, "enheter", spark.createDataFrame([("1", "A")], "org_nr string, name string"), cursor=4)
