@@ -76,13 +76,13 @@ def bulk_csv_entities(spark, sf):
 
 @register(_CSV, A.ENTITIES)
 def csv_in_ranges(spark, sf):
-    """The same files, each read by as many tasks as it has ranges"""
+    """The same files, read in ranges; small neighbouring ones share tasks"""
     return ingest.tidy(ingest.read_csv(spark, _written_csv(spark, sf), range_bytes=50_000)).select(*_PARSED)
 
 
 @register(f"SELECT {_ENTITY}, concat('Street ', org_nr, '; ', legal_form) AS business_address, name AS ukjent_felt FROM entities", A.ENTITIES)
 def json_array_in_ranges(spark, sf):
-    """JSON arrays, each read by as many tasks as it has ranges"""
+    """JSON arrays, read in ranges; small neighbouring ones share tasks"""
     path = folder(spark, "arrays")
     rows = _nested_entities(spark, sf).select(F.to_json(F.struct("*")).alias("value"), F.col("organisasjonsnummer").substr(-2, 2).alias("part"))
     rows.groupBy("part").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value")).select("value").write.text(path)

@@ -3,7 +3,8 @@
 Files are cut into ranges of bytes. A first pass counts in each range the quotes, and for JSON the brackets that lie
 outside strings if the range begins outside or inside one; running sums over a file's ranges then tell how each
 begins. With that a second pass finds the records that start in a range, and reads on to the last one's end. Both
-passes are tasks of one range each; only names and sizes of files pass the driver.
+passes are tasks of one range each, or of neighbouring ones where these are small; only names and sizes of files pass
+the driver.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 RANGE_BYTES = 32 << 20
 _QUOTE, _BACKSLASH, _NEWLINE = b'"'[0], b"\\"[0], b"\n"[0]
 _BEYOND = 1 << 20
+#: Small ranges share tasks where there are more of them than this, and than two for each core.
+TASKS = 64
 
 
 def _system(uri: str):
@@ -98,7 +101,7 @@ def _csv_records(system, path: str, start: int, length: int, inside: int, depth:
         # the byte before the range is the end of a record if it is a line end outside quotes
         begins = start > 0 and file.read(1) == b"\n" and not inside
         file.seek(start)
-        block, at, parts = file.read(length), start, [] if begins else None
+        block, at, step, parts = file.read(length), start, min(length, _BEYOND), [] if begins else None
         while block:
             data = np.frombuffer(block, np.uint8)
             state = (np.cumsum(data == _QUOTE) + inside) % 2
@@ -114,7 +117,7 @@ def _csv_records(system, path: str, start: int, length: int, inside: int, depth:
                 parts.append(block[since:])
             elif at >= start + length:
                 return
-            inside, block = int(state[-1]), file.read(_BEYOND)
+            inside, block = int(state[-1]), file.read(step := min(2 * step, _BEYOND))
         if parts is not None and (record := b"".join(parts).removesuffix(b"\r")):
             yield record
 
@@ -126,7 +129,7 @@ def _json_elements(system, path: str, start: int, length: int, inside: int, dept
     with system.open_input_file(path) as file:
         before = _backslashes(file, start)
         file.seek(start)
-        block, at, parts = file.read(length), start, None
+        block, at, step, parts = file.read(length), start, min(length, _BEYOND), None
         while block:
             data = np.frombuffer(block, np.uint8)
             state = (np.cumsum(_quotes(data, before)) + inside) % 2
@@ -151,7 +154,16 @@ def _json_elements(system, path: str, start: int, length: int, inside: int, dept
             trailing = len(block) - len(block.rstrip(b"\\"))
             before = before + trailing if trailing == len(block) else trailing
             inside, depth, at = int(state[-1]), int(level[-1]), at + len(block)
-            block = file.read(_BEYOND)
+            block = file.read(step := min(2 * step, _BEYOND))
+
+
+def shared(files: list[tuple[str, int]], range_bytes: int, tasks: int) -> tuple[int, int]:
+    """(neighbouring ranges that lie in one task, tasks): one where there are few or large ranges, else as many as make
+    ``tasks`` of all bytes, but no more than RANGE_BYTES a task."""
+    total = sum(size for _, size in files)
+    group = max(1, min(RANGE_BYTES, total // tasks) // range_bytes)
+    n = sum(-(-size // (group * range_bytes)) for _, size in files)
+    return group, max(1, min(n, max(tasks, -(-total // (group * range_bytes)))))
 
 
 def records(spark: SparkSession, uri: str, json: bool, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -162,16 +174,17 @@ def records(spark: SparkSession, uri: str, json: bool, range_bytes: int = RANGE_
     files = files_of(uri)
     if packed := [p for p, _ in files if p.endswith((".gz", ".zst", ".bz2", ".xz"))]:
         raise ValueError(f"{packed[0]} is compressed: ranges of it can't be read")
-    n = max(1, sum(-(-size // range_bytes) for _, size in files))
+    group, n = shared(files, range_bytes, max(TASKS, 2 * spark.sparkContext.defaultParallelism))
     ranges = spark.createDataFrame(files, "path string, bytes long").select("path", F.explode(F.expr(f"sequence(0L, bytes - 1, {range_bytes}L)")).alias("start"))
-    spread = lambda df: df.repartition(n, "path", "start")
+    # a task's ranges lie side by side
+    spread = lambda df: df.repartition(n, "path", F.expr(f"start div {group * range_bytes}")).sortWithinPartitions("path", "start")
 
     def count(batches):
         import pyarrow as pa
 
         system, _ = _system(uri)
         for batch in batches:
-            rows = [(p, s, *_counted(system, p, s, range_bytes, json)) for p, s in zip(batch["path"].to_pylist(), batch["start"].to_pylist())]
+            rows = [(r["path"], r["start"], *_counted(system, r["path"], r["start"], range_bytes, json)) for r in batch.to_pylist()]
             if rows:
                 yield pa.record_batch([pa.array(c) for c in zip(*rows)], names=["path", "start", "quotes", "outside", "inside"])
 
@@ -181,16 +194,16 @@ def records(spark: SparkSession, uri: str, json: bool, range_bytes: int = RANGE_
         system, _ = _system(uri)
         find: Callable = _json_elements if json else _csv_records
         for batch in batches:
+            held, size = [], 0
             for r in batch.to_pylist():
-                held, size = [], 0
                 for x in find(system, r["path"], r["start"], range_bytes, r["within"], r["depth"]):
                     held.append(x)
                     size += len(x)
                     if size > 1 << 23:
                         yield pa.record_batch([pa.array(held).cast(pa.string())], names=["value"])
                         held, size = [], 0
-                if held:
-                    yield pa.record_batch([pa.array(held).cast(pa.string())], names=["value"])
+            if held:
+                yield pa.record_batch([pa.array(held).cast(pa.string())], names=["value"])
 
     earlier = W.partitionBy("path").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0)).cast("long")

@@ -292,6 +292,17 @@ def test_large_files_in_ranges(spark, tmp_path):
         ingest.read_csv(spark, f"file://{tmp_path}/z.csv.gz", range_bytes=10)
 
 
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Tasks don't grow in number with ranges of a few bytes; neither do bytes that are read beyond a range."""
+    rows = [{"id": i, "t": "x" * (i % 40)} for i in range(2000)]
+    (tmp_path / "e.json").write_text(json.dumps(rows))
+    cut = ranges.records(spark, f"file://{tmp_path}/e.json", True, 50)
+    assert cut.rdd.getNumPartitions() <= 65 and sorted(json.loads(r[0])["id"] for r in cut.collect()) == list(range(2000))
+    files = [("a", 64_000_000), ("b", 10)]
+    assert ranges.shared(files, 5_000, 64) == (200, 65) and ranges.shared(files, 32 << 20, 64) == (1, 3)
+    assert ranges.shared([(str(i), 10) for i in range(10_000)], 5_000, 64) == (1, 64)
+
+
 def test_roles_and_signing(spark):
     nested = {"organisasjonsnummer": "1", "rollegrupper": [{"type": {"kode": "STYR"}, "sistEndret": "2024-01-01", "roller": [
         {"type": {"kode": "LEDE"}, "person": {"fodselsdato": "1951-07-16", "navn": {"fornavn": "Jan", "etternavn": "Aarrestad"}, "erDoed": False}, "rekkefolge": 1},
