@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from registra.functions import dictionaries, exprs, schema
 from registra.operators import changes, diff, drift, governance, graph, label, lookup, panel, replay
+from registra.plans import adapters
 from registra.sources import ingest, ranges, updates
 from registra.sources.store import Store, retention_plan
 from registra.streaming import sync
@@ -292,6 +293,19 @@ def test_large_files_in_ranges(spark, tmp_path):
         ingest.read_csv(spark, f"file://{tmp_path}/z.csv.gz", range_bytes=10)
 
 
+def test_roles_are_told_apart_by_few_columns(spark, tmp_path):
+    """The role table's rows are distinct by the columns they come from, and nothing wider is shuffled."""
+    line = "1L AS l_orderkey, 7L AS l_suppkey, {n} AS l_linenumber, {q}D AS l_quantity, '{f}' AS l_returnflag, 'F' AS l_linestatus"
+    told = [("5", 10, "A"), ("5", 11, "N"), ("6", 10, "A"), ("1", 10, "A"), ("1", 11, "A"), ("1", 45, "A"), ("1", 50, "A"), ("1", 3, "A"), ("1", 10, "X"), ("CAST(NULL AS int)", 10, "A")]
+    path = f"file://{tmp_path}"
+    spark.sql(" UNION ALL ".join("SELECT " + line.format(n=n, q=q, f=f) for n, q, f in told)).write.parquet(f"{path}/lineitem.parquet")
+    spark.sql("SELECT 1L AS o_orderkey, 4L AS o_custkey UNION ALL SELECT 1L, 5L").write.parquet(f"{path}/orders.parquet")
+    got = adapters.roles(spark, path)
+    assert got.count() == got.distinct().count() == 2 * (1 + 1 + 5) + 1
+    assert got.where("ordering IS NULL AND first_name IS NULL AND entity_org_nr IS NULL AND role_code = 'LEDE'").count() == 1
+    assert "hashpartitioning(org_nr" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_small_ranges_share_tasks(spark, tmp_path):
     """Tasks don't grow in number with ranges of a few bytes; neither do bytes that are read beyond a range."""
     rows = [{"id": i, "t": "x" * (i % 40)} for i in range(2000)]
