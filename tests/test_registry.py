@@ -388,6 +388,23 @@ def test_graph(spark):
     assert rows(graph.projection(graph.board_network(table, entities)[1])) == [("o:111", "o:222", 1)]
 
 
+def test_pairs_are_counted_where_they_are_made(spark):
+    """No shuffle carries a row for each pair: boards travel with those that follow them."""
+    edges = [(f"p:{i % 7}", f"o:{i % 11}") for i in range(60)] * 2
+    table = spark.createDataFrame(edges, "from string, to string")
+    expected = {}
+    for p in {p for p, _ in edges}:
+        boards = sorted({o for q, o in edges if q == p})
+        for i, a in enumerate(boards):
+            for b in boards[i + 1 :]:
+                expected[a, b] = expected.get((a, b), 0) + 1
+    for tile in (2, 512):
+        found = graph.projection(table, tile)
+        assert {(r.org_a, r.org_b): r.shared for r in found.collect()} == expected
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "hashpartitioning(org_a" not in plan and not [x for x in plan.splitlines() if "Exchange" in x and x.count("other#") + x.count("org_b#")]
+
+
 def test_boards_of_one_person(spark):
     """A person on very many boards: pairs in tiles as without them, and no key that holds more than two tiles."""
     rnd = random.Random(1)
