@@ -110,14 +110,21 @@ class Tables:
 
     def write_run(self, table: str, rows: DataFrame, key: str | None = None, whole: bool = False, by: Sequence[str] = ()) -> dict:
         """A run that no commit names yet. Whole ones are dealt into buckets; others are as few files as their size asks."""
-        run = {"id": uuid.uuid4().hex, "buckets": 0}
+        run, held = {"id": uuid.uuid4().hex, "buckets": 0}, None
         if whole:
+            # counted and then written: what they are made by may be far more work than they are
+            if not (rows.storageLevel.useMemory or rows.storageLevel.useDisk):
+                held = rows.persist()
             run["buckets"] = min(MOST_BUCKETS, rows.count() // BUCKET_ROWS + 1)
             rows = rows.withColumn("_bucket", bucket(key, run["buckets"])).repartition("_bucket").sortWithinPartitions(key)
             by = ("_bucket",)
         else:
             rows = rows.hint("rebalance")
-        rows.write.partitionBy(*by).parquet(self.path(table, run))
+        try:
+            rows.write.partitionBy(*by).parquet(self.path(table, run))
+        finally:
+            if held is not None:
+                held.unpersist()
         return run | {"schema": rows.schema.jsonValue(), "rows": self.read_run(table, run | {"schema": rows.schema.jsonValue()}).count()}
 
     def read_run(self, table: str, run: dict) -> DataFrame:

@@ -61,9 +61,13 @@ def _annotations(tx: Transaction, notes: list[DataFrame]) -> DataFrame:
     return log
 
 
-def _roles(tx: Transaction, full: DataFrame, affected: DataFrame, timestamp: str) -> DataFrame:
-    affected = affected.select("org_nr").distinct()
-    old, new = tx.view.rows(ROLES, affected), full.join(affected, "org_nr", "left_semi")
+def _roles(tx: Transaction, full: DataFrame, affected: DataFrame, timestamp: str, held: list[DataFrame]) -> DataFrame:
+    """Puts the affected organisations' roles; the changelog rows. What is read several times is ``held`` until the
+    commit: the extract may be far more work to make than its rows are to keep."""
+    affected = affected.select("org_nr").distinct().persist()
+    held.append(affected)
+    old, new = tx.view.rows(ROLES, affected), full.join(affected, "org_nr", "left_semi").persist()
+    held.append(new)
     tx.put(ROLES, new, affected)
     return role_changes(old, new, timestamp)
 
@@ -92,7 +96,7 @@ def apply_feeds(
             last = batch.agg(F.max("update_id").alias("id"), F.max("timestamp").cast("date").cast("string").alias("day"), F.date_format(F.max("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("at")).first()
             if last.id is None:
                 continue
-            log = _roles(tx, roles(batch.select("org_nr").distinct()), batch, last.at) if kind == ROLES else _entities(tx, kind, batch, phase_order, notes)
+            log = _roles(tx, roles(batch.select("org_nr").distinct()), batch, last.at, held) if kind == ROLES else _entities(tx, kind, batch, phase_order, notes)
             logs.append((log, last.day))
             tx.mark(kind, batch_id=batch_id, cursor=last.id)
         if not logs:
@@ -124,14 +128,20 @@ def apply_roles(store: Store, full: DataFrame, timestamp: str, batch_id: int, af
     tx = store.tables.begin()
     if (tx.view.mark(ROLES) or {"batch_id": -1})["batch_id"] >= batch_id:
         return
-    if affected is not None and tx.view.has(ROLES):
-        rows = _roles(tx, full, affected, timestamp)
-    else:
-        rows = role_changes(tx.view.rows(ROLES), full, timestamp)
-        tx.replace(ROLES, full)
-    tx.append(CHANGELOG, _logged(rows, timestamp[:10]), by=("sync_date",))
-    tx.mark(ROLES, batch_id=batch_id, cursor=(tx.view.mark(ROLES) or {"cursor": 0})["cursor"])
-    tx.commit()
+    held: list[DataFrame] = []
+    try:
+        if affected is not None and tx.view.has(ROLES):
+            rows = _roles(tx, full, affected, timestamp, held)
+        else:
+            held.append(full.persist())
+            rows = role_changes(tx.view.rows(ROLES), full, timestamp)
+            tx.replace(ROLES, full)
+        tx.append(CHANGELOG, _logged(rows, timestamp[:10]), by=("sync_date",))
+        tx.mark(ROLES, batch_id=batch_id, cursor=(tx.view.mark(ROLES) or {"cursor": 0})["cursor"])
+        tx.commit()
+    finally:
+        for rows in held:
+            rows.unpersist()
 
 
 def sync_feeds(

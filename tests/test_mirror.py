@@ -243,6 +243,29 @@ def test_polls_of_stored_pages(spark, tmp_path):
     assert [i for _, found in got for i in found] == [i for i in ids if 150 < i] + list(range(699, 720))
 
 
+def test_extracts_are_read_once(spark, tmp_path):
+    """An extract of roles is made once for its state, and once for a change of it, whatever is told by it."""
+    store, seen = Store(spark, f"file://{tmp_path}/store"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    def extract(code):
+        rows = spark.createDataFrame([(str(i), "STYR", code, f"p{i}") for i in range(10)], "org_nr string, role_group_code string, role_code string, person_id string")
+        return diff.backfill_roles(rows.mapInArrow(counted, rows.schema))
+
+    sync.bootstrap(store, "roller", extract("LEDE"))
+    assert seen.value == 10
+    affected = spark.createDataFrame([("1",), ("2",)], "org_nr string")
+    sync.apply_roles(store, extract("MEDL"), "2024-01-01T00:00:00", 1, affected)
+    assert seen.value == 20
+    assert sorted((r.org_nr, r.role_code) for r in store.state("roller").collect()) == [(str(i), "MEDL" if i in (1, 2) else "LEDE") for i in range(10)]
+    sync.apply_roles(store, extract("VARA"), "2024-01-02T00:00:00", 2)
+    assert seen.value == 30 and {r.role_code for r in store.state("roller").collect()} == {"VARA"}
+
+
 def test_several_polls_a_batch(spark, tmp_path):
     """A batch of several polls ends where so many polls would, and neighbouring pages share tasks."""
     path, got = f"file://{tmp_path}/pages", []
