@@ -327,8 +327,9 @@ def mirrored(spark: SparkSession, sf: str) -> Store:
     # seconds are what the feed tells, so the halves part at a whole one
     early = F.date_trunc("second", F.col("ts").cast("timestamp")) <= F.date_trunc("second", F.lit(middle))
     for half in (early, ~early):
-        raw.where(half).drop("ts").coalesce(1).write.mode("append").json(pages)
-        sync.sync(store, "enheter", pages, f"{store.root}/checkpoint-enheter")
+        raw.where(half).drop("ts").write.mode("append").json(pages)
+        # a run's files are one batch, so that events apply in time order whatever file they are in
+        sync.sync(store, "enheter", pages, f"{store.root}/checkpoint-enheter", files_per_batch=1_000_000)
     return store
 
 
