@@ -18,8 +18,9 @@ ABREAST = 8
 #: A sketch adds up 96 lanes of +1 and -1, three in a word of 21 bits each, for half the words from either hash.
 WORDS, LANES, DEVIATIONS = 32, 3, 4.0
 PIVOTS = 8
-#: Lines of a bucket that are compared with each other directly.
-DIRECT = 64
+#: Lines of a bucket that are compared with each other directly; few, so that the work for larger ones, which is in
+#: proportion to their lines, is nearly all of it at every size.
+DIRECT = 8
 
 
 def _masks(n: int) -> list[int]:
@@ -115,18 +116,21 @@ def _rare_pairs(lines: DataFrame, width: int, percent: int, tile: int = 512) ->
     """Pairs (a, b) that may be linked among rows (id, line, n, component, met), in other components and in one of the
     same buckets ``met``.
 
-    Shingles stand in one order for all lines, the rarest first. The first that two lines share ends what they can
-    have in common: the rest of either line from there on. So lines that keep many shingles for themselves meet
-    none of their template. Of each line only the shingles that can be such a first one are joined; those that more
-    than ``tile`` lines bring are joined in tiles.
+    Shingles stand in one order for all lines: first those of a single component, which no pair can share, then the
+    others, the rarest first. The first that two lines share ends what they can have in common: the rest of either line
+    from there on. So lines that keep many shingles for themselves meet none of their template. Of each line only the
+    shingles that can be such a first one are joined; those that more than ``tile`` lines bring are joined in tiles.
     """
-    each = lines.select("id", F.explode(_shingles(width)).alias("h"))
-    held = each.join(each.groupBy("h").agg(F.count("*").alias("f")), "h")
-    held = held.withColumn("at", F.row_number().over(W.partitionBy("id").orderBy("f", "h")) - 1)
-    held = held.join(lines.select("id", "n", "component", "met"), "id").where(f"f > 1 AND 100 * (n - at) >= {percent} * n")
-    held = common.materialize(held.drop("f"), "rare")
-    times = held.groupBy("h").agg(F.ceil(F.count("*") / tile).cast("int").alias("t"), F.count("*").alias("k"))
-    held = held.join(times.where("k > 1").drop("k"), "h")
+    several = F.min("component") < F.max("component")
+    each = lines.select("id", "component", F.explode(_shingles(width)).alias("h"))
+    met = each.groupBy("h").agg(F.count("*").alias("f"), several.alias("several")).where("several").drop("several")
+    held = each.drop("component").join(met, "h")
+    held = held.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("f", "h")))
+    held = held.withColumn("shared", F.count("*").over(W.partitionBy("id"))).join(lines.select("id", "n", "component", "met"), "id")
+    held = held.withColumn("at", F.expr("n - shared + rank - 1")).where(f"100 * (n - at) >= {percent} * n")
+    held = common.materialize(held.drop("f", "rank", "shared"), "rare")
+    times = held.groupBy("h").agg(F.ceil(F.count("*") / tile).cast("int").alias("t"), several.alias("several"))
+    held = held.join(times.where("several").drop("several"), "h")
     place, every = F.pmod(F.xxhash64("id"), F.col("t")).cast("int"), F.explode(F.expr("sequence(0, t - 1)"))
     x, y = held.withColumn("i", place).withColumn("j", every), held.withColumn("j", place).withColumn("i", every)
     once = F.expr("x.h = y.h AND x.i = y.i AND x.j = y.j AND x.id < y.id AND x.component != y.component")
@@ -222,7 +226,7 @@ def duplicate_lines(docs: DataFrame, width: int = 8, percent: int = 80) -> DataF
     return found.where("NOT kept").select("doc_id", "at", "class_doc_id")
 
 
-@common.written("removed")
+@common.written("removed", broadcasts=False)
 def _removed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     removed = duplicate_lines(docs, width, percent)
     return removed.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("at").alias("_removed"))
@@ -237,7 +241,7 @@ def dedup(docs: DataFrame, width: int = 8, percent: int = 80) -> DataFrame:
     document: the same line numbers go from each. Rows without a doc_id stay as they are. An empty table gives an
     empty result; other columns pass unchanged, but for n_lines and n_kept, which are set anew.
     """
-    removed = _removed(docs.where("doc_id IS NOT NULL"), width, percent)
+    removed = _removed(docs.where("doc_id IS NOT NULL"), width, percent).hint("merge")
     out = docs.drop("n_lines", "n_kept").join(removed, F.col("doc_id") == F.col("_doc"), "left")
     breaks = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit("")))
     out = out.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(breaks + 1))

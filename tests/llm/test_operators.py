@@ -340,6 +340,31 @@ def test_templated_lines(spark, monkeypatch, direct):
     assert out == {i: int(want[i] == i) for i in range(len(texts))}
 
 
+def test_shingles_of_one_component_are_not_joined(spark, monkeypatch):
+    """Lines that are one component already bring no rows to the join of rare shingles; those of others still meet."""
+    r = random.Random(13)
+    own = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    one, two = own(120), own(120)
+    texts = [one + own(3) for _ in range(100)] + [two + own(2) for _ in range(2)]
+    rows = [(i, t, len({t[k : k + 8] for k in range(len(t) - 7)}), 0 if i < 100 else i, [1]) for i, t in enumerate(texts)]
+    made, materialize = {}, common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, label: made.setdefault(label, materialize(df, label)))
+    found = lines._rare_pairs(spark.createDataFrame(rows, "id long, line string, n long, component long, met array<long>"), 8, 80).collect()
+    assert [(x.a, x.b) for x in found] == [(100, 101)]
+    assert {x.id for x in made["rare"].collect()} == {100, 101}
+
+
+@pytest.mark.parametrize("run", [lines.dedup])
+def test_no_join_depends_on_the_size_of_a_side(spark, monkeypatch, docs, run):
+    """What is shuffled grows with the input: no side is broadcast for being small, and the setting is put back."""
+    key, materialize = "spark.sql.autoBroadcastJoinThreshold", common.materialize
+    before, seen = spark.conf.get(key), set()
+    monkeypatch.setattr(common, "materialize", lambda df, label, *by: (seen.add(spark.conf.get(key)), materialize(df, label, *by))[1])
+    out = run(docs)
+    assert seen == {"-1"} and spark.conf.get(key) == before
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_similar_short_lines_are_found(spark):
     """Lines that differ in a few characters only, against brute force: at most one pair in 100 is lost."""
     r, pairs = random.Random(11), []
