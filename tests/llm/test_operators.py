@@ -354,7 +354,7 @@ def test_shingles_of_one_component_are_not_joined(spark, monkeypatch):
     assert {x.id for x in made["rare"].collect()} == {100, 101}
 
 
-@pytest.mark.parametrize("run", [lines.dedup])
+@pytest.mark.parametrize("run", [lines.dedup, substrings.dedup])
 def test_no_join_depends_on_the_size_of_a_side(spark, monkeypatch, docs, run):
     """What is shuffled grows with the input: no side is broadcast for being small, and the setting is put back."""
     key, materialize = "spark.sql.autoBroadcastJoinThreshold", common.materialize
