@@ -95,10 +95,11 @@ ROLES = """roles AS (
     CAST(NULL AS DATE) AS group_modified FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > {0}))"""
 
 
-def roles(spark: SparkSession, sf_dir: str, above: int = 0) -> DataFrame:
+def roles(spark: SparkSession, sf_dir: str, above: int = 0, by_org: bool = False) -> DataFrame:
     """Suppliers' order lines as roles: customers hold them; every seventh line is an auditor.
 
-    Rows that are told apart by all columns are so by the few these come from, which alone are shuffled.
+    Rows that are told apart by all columns are so by the few these come from, which alone are shuffled; ``by_org`` to
+    where their organisation's others are, so that grouping by ``org_nr`` shuffles nothing more.
     """
     line, quantity = F.col("l_linenumber") % 7, F.col("l_quantity")
     held = F.when(F.col("l_returnflag") == "A", "LEDE").when(F.col("l_returnflag") == "N", "MEDL").otherwise("VARA")
@@ -110,14 +111,15 @@ def roles(spark: SparkSession, sf_dir: str, above: int = 0) -> DataFrame:
     customers = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").hint("shuffle_hash")
     # a line without a number has no holder
     who = F.when(line.isNotNull(), F.col("o_custkey")).alias("holder")
-    rows = lines.join(customers, "l_orderkey").select("l_suppkey", "l_linenumber", "role_code", who, "deceased", "resigned", "elected_by").distinct()
+    rows = lines.join(customers, "l_orderkey").select(F.col("l_suppkey").cast("string").alias("org_nr"), "l_linenumber", "role_code", who, "deceased", "resigned", "elected_by")
+    rows = (rows.repartition("org_nr") if by_org else rows).distinct()
     who, text = F.col("holder").cast("string"), lambda: F.lit(None).cast("string")
     born = F.when(line != 6, F.date_add(F.lit("1950-01-01").cast("date"), (F.col("holder") % 9000).cast("int")))
     first, last = F.when(line != 6, F.concat(F.lit("F"), who)), F.when(line != 6, F.concat(F.lit("L"), who))
     from ..functions.exprs import person_id
 
     return rows.select(
-        F.col("l_suppkey").cast("string").alias("org_nr"), F.when(line == 6, "REVI").when(line == 5, "DAGL").otherwise("STYR").alias("role_group_code"), text().alias("role_group"),
+        "org_nr", F.when(line == 6, "REVI").when(line == 5, "DAGL").otherwise("STYR").alias("role_group_code"), text().alias("role_group"),
         "role_code", text().alias("role"), first.alias("first_name"), text().alias("middle_name"), last.alias("last_name"), born.alias("birth_date"), "deceased",
         F.when(line == 6, who).alias("entity_org_nr"), F.when(line == 6, F.concat(F.lit("E"), who)).alias("entity_name"), "resigned",
         F.lit(None).cast("boolean").alias("deregistered"), F.col("l_linenumber").alias("ordering"), "elected_by", F.lit(None).cast("date").alias("group_modified"),

@@ -101,7 +101,7 @@ def import_csv(spark, sf):
 
 def nested_roles(spark: SparkSession, sf: str) -> DataFrame:
     """Role rows nested as the extract has them."""
-    r = A.roles(spark, sf)
+    r = A.roles(spark, sf, by_org=True)
     name = F.struct(F.col("first_name").alias("fornavn"), F.col("middle_name").alias("mellomnavn"), F.col("last_name").alias("etternavn"))
     person = F.struct(F.col("birth_date").cast("string").alias("fodselsdato"), name.alias("navn"), F.col("deceased").alias("erDoed"))
     unit = F.struct(F.col("entity_org_nr").alias("organisasjonsnummer"), F.array("entity_name").alias("navn"))
@@ -134,7 +134,7 @@ def roles_flatten(spark, sf):
 def bulk_json_roles(spark, sf):
     """S11, P7, P8"""
     path = folder(spark, "roles")
-    nested_roles(spark, sf).write.json(path)
+    nested_roles(spark, sf).write.option("compression", "gzip").json(path)
     return ingest.flatten_roles(ingest.read_json(spark, path, ingest.ROLE_INPUT, lines=True))
 
 

@@ -542,3 +542,11 @@ def test_sync_routes_annotations(spark, tmp_path):
     assert rows(store.state("paategninger"), "org_nr", "position", "infotype") == [("2", 0, "FADR"), ("2", 1, "NAVN")]
     kinds = {r.change_type for r in store.changelog().collect()}
     assert {"annotation_cleared", "annotation_added", "exit"} <= kinds
+
+
+def test_nested_roles_are_shuffled_once(spark):
+    """Lines and orders meet, then an organisation's roles: groups and entities are made where these lie."""
+    from registra.plans import files
+
+    plan = files.nested_roles(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("Exchange hashpartitioning(org_nr") == 1
