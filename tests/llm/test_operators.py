@@ -756,3 +756,13 @@ def test_pipeline(spark, docs, tmp_path):
     assert {r.doc_id for r in packed.collect()} == set(left)
     whole = corpus.run(spark, str(tmp_path)).groupBy("doc_id").sum("length").collect()
     assert sorted(whole) == sorted(packed.groupBy("doc_id").sum("length").collect())
+
+
+def test_language_model_passes_few_texts_at_once(spark, monkeypatch):
+    key, materialize, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", common.materialize, {}
+    before = spark.conf.get(key)
+    monkeypatch.setattr(common, "materialize", lambda df, label, *by: (seen.setdefault(label, spark.conf.get(key)), materialize(df, label, *by))[1])
+    rows = [(i, "the end of the line " * (i % 4), 0) for i in range(40)]
+    out = language_model.scores(spark.createDataFrame(rows, "doc_id long, text string, x int"), PATH, rounds=2)
+    assert out.count() == 40 and out.where("score < 0 AND n_known = n_tokens").count() == 40
+    assert seen["gathered"] == seen["scored"] == "512" and spark.conf.get(key) == before
