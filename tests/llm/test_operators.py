@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -766,3 +767,28 @@ def test_language_model_passes_few_texts_at_once(spark, monkeypatch):
     out = language_model.scores(spark.createDataFrame(rows, "doc_id long, text string, x int"), PATH, rounds=2)
     assert out.count() == 40 and out.where("score < 0 AND n_known = n_tokens").count() == 40
     assert seen["gathered"] == seen["scored"] == "512" and spark.conf.get(key) == before
+
+
+def test_texts_put_together_have_windows_of_their_own():
+    """Words, shingles and compact windows of many texts at once are those of each text."""
+    r = random.Random(9)
+    texts = [" ".join(r.choice("ab\u00e9C") + str(r.randint(0, 3)) for _ in range(n)) for n in (0, 3, 50, 51, 200, 0, 49, 400)]
+    texts += ["", "\t \r\n", "  A  b\x0bc\x0cd \n e ", texts[4].upper()]
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    for size in (1, 500, 1 << 18):
+        every, at = {}, 0
+        for batch, put in substrings._put_together([frame], size):
+            got = np.stack(substrings.compact_windows(put.shingles, texts=(put.begin, put.n)))
+            assert (put.of(got[2]) == np.searchsorted(put.begin, got[2], "right") - 1).all()
+            for text, begin, n in zip(batch["text"], put.begin, put.n):
+                each = [words(text)[i : i + 5] for i in range(len(words(text)) - 4)]
+                own = put.shingles[begin : begin + n]
+                assert n == len(each) and substrings._number_of_words(text) == len(words(text))
+                assert len(set(own.tolist())) == len(set(map(tuple, each)))
+                for h, shingle in zip(own.tolist(), each):
+                    assert every.setdefault(tuple(shingle), h) == h
+                alone = {tuple(w) for w in np.stack(substrings.compact_windows(own)).T.tolist()}
+                here = got[:, (got[2] >= begin) & (got[2] < begin + n)] if n else got[:, :0]
+                assert {(k, a - begin, c - begin, b - begin) for k, a, c, b in here.T.tolist()} == alone
+            at += len(batch)
+        assert at == len(texts)
