@@ -792,3 +792,24 @@ def test_texts_put_together_have_windows_of_their_own():
                 assert {(k, a - begin, c - begin, b - begin) for k, a, c, b in here.T.tolist()} == alone
             at += len(batch)
         assert at == len(texts)
+
+
+def test_similar_parts_by_the_rule():
+    """The longest similar part from each run of equal shingles, by plain sets, also where shingles repeat; a
+    long stretch of many runs takes seconds, not a quarter of a minute."""
+    import time
+
+    r = random.Random(1)
+    for _ in range(150):
+        m = r.choice([8, 40, 400])
+        x = [r.randint(0, m) for _ in range(r.randint(50, 120))]
+        y = [r.randint(0, m) if r.random() < 0.05 else v for v in x]
+        one, two = ([tuple(z[i : i + 5]) for i in range(len(z) - 4)] for z in (x, y))
+        for s, e in substrings._similar_parts(one, two, 0, 80):
+            left = set(one[s : e - 4])
+            assert e - s >= 50 and any(100 * len(left & set(two[b:d])) >= 80 * len(left | set(two[b:d])) for b in range(len(two)) for d in range(b + 46, len(two) + 1))
+    x = [f"w{i}" for i in range(12_000)]
+    y = [f"v{i}" if i % 6 == 5 else w for i, w in enumerate(x)]
+    one, two = ([tuple(z[i : i + 5]) for i in range(len(z) - 4)] for z in (x, y))
+    began = time.process_time()
+    assert substrings._similar_parts(one, two, 0, 80) == [] and time.process_time() - began < 5
