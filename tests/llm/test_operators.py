@@ -813,3 +813,20 @@ def test_similar_parts_by_the_rule():
     one, two = ([tuple(z[i : i + 5]) for i in range(len(z) - 4)] for z in (x, y))
     began = time.process_time()
     assert substrings._similar_parts(one, two, 0, 80) == [] and time.process_time() - began < 5
+
+
+@pytest.mark.parametrize("scale", [1, 40])
+def test_attention_with_large_exponents(monkeypatch, scale):
+    """Exponents taken as they are, or by each row's largest where they are too large, give the same; none overflows."""
+    from registra.llm import attention
+
+    r, size = np.random.RandomState(3), 300
+    ids = r.randint(0, size - 1, 700).astype(np.int32)
+    classes = attention.Classes(np.bincount(ids, minlength=size).astype(float), r.rand(size) < 0.5, r.rand(size) < 0.5, size - 1)
+    params = {k: v * np.float32(scale) for k, v in attention.start(classes).items()}
+    wins, found = attention.windows(ids, size - 1), []
+    for safe in (80.0, -1.0):
+        monkeypatch.setattr(attention, "_SAFE", safe)
+        found.append((attention.probabilities(params, classes, wins), attention.gradients(params, classes, wins)))
+    (p, g), (q, h) = found
+    assert np.isfinite(p).all() and np.isfinite(g).all() and np.allclose(p, q, rtol=1e-3, atol=1e-30) and np.allclose(g, h, rtol=1e-3, atol=1e-2 * scale)
