@@ -417,6 +417,53 @@ def test_later_variants_meet(spark, monkeypatch, chunk):
     assert all(x.start >= 160 for i, spans in found.items() if i % 100 == 50 for x in spans)
 
 
+def _shuffled(spark, run) -> int:
+    """Bytes that stages shuffle while ``run`` is at work."""
+    store, wait = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty
+    wait()
+    last = max((s.stageId() for s in _stages(store)), default=-1)
+    run()
+    wait()
+    return sum(s.shuffleWriteBytes() for s in _stages(store) if s.stageId() > last)
+
+
+def _stages(store) -> list:
+    found = store.stageList(None, False, False, getattr(store, "stageList$default$4")(), None)
+    return [found.apply(i) for i in range(found.size())]
+
+
+def test_texts_are_shuffled_once(spark, tmp_path):
+    """Whatever is joined to texts on the way goes to where they lie; texts that nobody asks for stay there."""
+    r = random.Random(12)
+    text = lambda n: " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=12)) for _ in range(n))
+    rows = [(i, text(2000)) for i in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs, size = spark.read.parquet(f"{tmp_path}/documents.parquet"), sum(len(t) for _, t in rows)
+    assert _shuffled(spark, lambda: substrings.dedup(docs).select("doc_id", "n_words", "n_removed", "spans").collect()) < 2 * size
+
+
+def test_alike_windows_are_told_at_once(spark, monkeypatch):
+    """Passages are hashed one by one only where windows of a key differ, and the first of equal passages stays."""
+    r, made = random.Random(13), []
+    noise = lambda n: [f"n{r.randrange(10**9)}" for _ in range(n)]
+    passage, seen, texts = noise(400), set(), []
+    for i in range(8):
+        cut = passage[10 * i : 400 - 7 * i]
+        texts.append(" ".join([*noise(20), *cut, *noise(20), *(cut[-120:] if i % 2 else []), *noise(5)]))
+    passages = substrings._whole_passages
+    monkeypatch.setattr(substrings, "_whole_passages", lambda docs: (made.append(passages(docs).count()), passages(docs))[1])
+    out = {x.doc_id: x.spans for x in substrings.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    copied = 0
+    for i, t in enumerate(texts):
+        w, cover = words(t), set()
+        for s in range(len(w) - 49):
+            copied += (key := tuple(w[s : s + 50])) in seen
+            cover |= set(range(s, s + 50)) if key in seen else set()
+            seen.add(key)
+        assert cover <= {j for x in out.get(i, []) for j in range(x.start, x.end)}
+    assert 0 not in out and made[0] < copied / 2, (made, copied)
+
+
 def test_fragments_before_copies(spark):
     """Two near-copies find each other though an older document holds shorter fragments of them."""
     r, rows = random.Random(9), []
