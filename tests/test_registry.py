@@ -421,6 +421,13 @@ def test_boards_of_one_person(spark):
                     expected[a, b] = expected.get((a, b), 0) + 1
     for tile in (8, 512):
         assert {(r.org_a, r.org_b): r.shared for r in graph.projection(table, tile).collect()} == expected
+def test_pairs_have_tasks_of_their_own(spark):
+    """A row makes many pairs, so they are counted in more tasks than rows are shuffled to."""
+    table = spark.createDataFrame([("p:1", "o:1"), ("p:1", "o:2")], "from string, to string")
+    plan = graph.projection(table)._jdf.queryExecution().executedPlan().toString()
+    assert [x for x in plan.splitlines() if "Exchange hashpartitioning(org#" in x and ", 32)" in x]
+
+
     assert {(r["from"], r._tiles) for r in graph.heavy(table.distinct(), "from", 64).collect()} == {("p:x", 3), ("p:y", 2)}
     persons = [role(org_nr=str(i), person_id="common") for i in range(700)] + [role(org_nr="5", person_id="q"), role(org_nr="9000", person_id="q"), role(org_nr="9001", person_id="r")]
     table = spark.createDataFrame(persons, schema.ROLES)
