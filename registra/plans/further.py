@@ -272,11 +272,14 @@ _EDGES = """SELECT concat('o:', parent_org_nr) AS "from", concat('o:', org_nr) A
 
 def _network(spark, sf, depth):
     e = A.entities(spark, sf).select("org_nr", "name", "parent_org_nr", "registry")
-    nine = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.lit("9"), F.lpad(c, 8, "0"))).alias(c)
-    held = A.roles(spark, sf).select(nine("org_nr"), "role_code", "role", "first_name", "last_name", "person_id", nine("entity_org_nr"), "entity_name", "resigned", "deregistered").distinct()
+    nine = lambda c: F.when(c.isNotNull(), F.concat(F.lit("9"), F.lpad(c, 8, "0")))
+    # told apart by what these columns come from, which is narrower than they are
+    told = ("org_nr", "role_code", "role", "first_name", "last_name", "person_id", "entity_org_nr", "entity_name", "resigned", "deregistered")
+    held = A.roles(spark, sf, columns=told, org=nine).withColumn("entity_org_nr", nine(F.col("entity_org_nr")))
     legal = lookup.legal_roles(held, e).select("org_nr", "target_org_nr", "target_name", "role_code", "role").distinct()
     tables = {"sub_units": e.where("registry = 'underenheter'"), "children": e.where("registry = 'enheter'"), "roles": held, "legal_roles": legal}
-    seeds = spark.createDataFrame([(s,) for s in _SEEDS], "org_nr string")
+    # few by what Spark knows of them, so they are sent to the lines instead of the lines to them
+    seeds = spark.sql(f"SELECT explode(array({', '.join(repr(s) for s in _SEEDS)})) AS org_nr")
     return graph.network(seeds, e, tables, depth)
 
 

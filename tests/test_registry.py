@@ -304,6 +304,22 @@ def test_roles_are_told_apart_by_few_columns(spark, tmp_path):
     assert got.count() == got.distinct().count() == 2 * (1 + 1 + 5) + 1
     assert got.where("ordering IS NULL AND first_name IS NULL AND entity_org_nr IS NULL AND role_code = 'LEDE'").count() == 1
     assert "hashpartitioning(org_nr" not in got._jdf.queryExecution().executedPlan().toString()
+    spark.sql("SELECT 1L AS o_orderkey, 4L AS o_custkey UNION ALL SELECT 1L, CAST(NULL AS long)").write.mode("overwrite").parquet(f"{path}/orders.parquet")
+    for some in (["org_nr", "role_code", "first_name", "person_id", "entity_org_nr", "resigned"], ["org_nr", "ordering", "person_id", "entity_org_nr"]):
+        few = adapters.roles(spark, path, columns=some)
+        assert set(few.columns) == set(some) and sorted(map(str, few.select(*some).collect())) == sorted(map(str, adapters.roles(spark, path).select(*some).distinct().collect()))
+    assert adapters.roles(spark, path, columns=["org_nr"], org=lambda c: F.lpad(c, 3, "0")).first().org_nr == "007"
+
+
+def test_few_seeds_go_to_the_lines(spark):
+    """A network around a few seeds: lines of other organisations are not shuffled for the seeds' own roles, and roles are
+    told apart by narrow columns."""
+    from registra.plans import further
+
+    plan = further.network_nodes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert "hashpartitioning(person_id" not in plan and not [x for x in shuffles if "first_name" in x and "role_code" in x]
+    assert plan.count("LeftSemi, BuildRight") >= 4
 
 
 def test_small_ranges_share_tasks(spark, tmp_path):
@@ -405,6 +421,13 @@ def test_pairs_are_counted_where_they_are_made(spark):
     assert "hashpartitioning(org_a" not in plan and not [x for x in plan.splitlines() if "Exchange" in x and x.count("other#") + x.count("org_b#")]
 
 
+def test_pairs_have_tasks_of_their_own(spark):
+    """A row makes many pairs, so they are counted in more tasks than rows are shuffled to."""
+    table = spark.createDataFrame([("p:1", "o:1"), ("p:1", "o:2")], "from string, to string")
+    plan = graph.projection(table)._jdf.queryExecution().executedPlan().toString()
+    assert [x for x in plan.splitlines() if "Exchange hashpartitioning(org#" in x and ", 32)" in x]
+
+
 def test_boards_of_one_person(spark):
     """A person on very many boards: pairs in tiles as without them, and no key that holds more than two tiles."""
     rnd = random.Random(1)
@@ -421,13 +444,6 @@ def test_boards_of_one_person(spark):
                     expected[a, b] = expected.get((a, b), 0) + 1
     for tile in (8, 512):
         assert {(r.org_a, r.org_b): r.shared for r in graph.projection(table, tile).collect()} == expected
-def test_pairs_have_tasks_of_their_own(spark):
-    """A row makes many pairs, so they are counted in more tasks than rows are shuffled to."""
-    table = spark.createDataFrame([("p:1", "o:1"), ("p:1", "o:2")], "from string, to string")
-    plan = graph.projection(table)._jdf.queryExecution().executedPlan().toString()
-    assert [x for x in plan.splitlines() if "Exchange hashpartitioning(org#" in x and ", 32)" in x]
-
-
     assert {(r["from"], r._tiles) for r in graph.heavy(table.distinct(), "from", 64).collect()} == {("p:x", 3), ("p:y", 2)}
     persons = [role(org_nr=str(i), person_id="common") for i in range(700)] + [role(org_nr="5", person_id="q"), role(org_nr="9000", person_id="q"), role(org_nr="9001", person_id="r")]
     table = spark.createDataFrame(persons, schema.ROLES)
