@@ -138,7 +138,8 @@ def role_changes(
     old = backfill_roles(old) if old is not None else new.where("false")
     holder = F.coalesce("person_id", F.concat(F.lit("entity:"), F.col("entity_org_nr")))
     key = F.concat_ws("|", _part("org_nr"), _part("role_group_code"), _part("role_code"), holder)
-    keyed = lambda df: first_rows(df.where(f"NOT ({_NOBODY})").withColumn("role_key", key), ["role_key"], [F.col(c).asc_nulls_last() for c in order])
+    # a key tells its organisation, so first rows lie where the join wants them
+    keyed = lambda df: first_rows(df.where(f"NOT ({_NOBODY})").withColumn("role_key", key), ["role_key", "org_nr"], [F.col(c).asc_nulls_last() for c in order])
     known_old, known_new = keyed(old), keyed(new)
     both = _joined(known_old, known_new, ["role_key", "org_nr"], list(columns))
     pairs = _differences(both, columns, (_kinds(known_old), _kinds(known_new)))

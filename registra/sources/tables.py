@@ -109,17 +109,18 @@ class Tables:
         return f"{self.root}/data/{table}/{run['id']}"
 
     def write_run(self, table: str, rows: DataFrame, key: str | None = None, whole: bool = False, by: Sequence[str] = ()) -> dict:
-        """A run that no commit names yet. Whole ones are dealt into buckets; others are as few files as their size asks."""
+        """A run that no commit names yet. Whole ones are dealt into buckets, others are written as they come: the shuffle
+        that made them has as many parts as their size asks."""
         run, held = {"id": uuid.uuid4().hex, "buckets": 0}, None
         if whole:
             # counted and then written: what they are made by may be far more work than they are
             if not (rows.storageLevel.useMemory or rows.storageLevel.useDisk):
                 held = rows.persist()
             run["buckets"] = min(MOST_BUCKETS, rows.count() // BUCKET_ROWS + 1)
-            rows = rows.withColumn("_bucket", bucket(key, run["buckets"])).repartition("_bucket").sortWithinPartitions(key)
+            # sorted as the folders ask, so that writing sorts no second time; a task gets few buckets, however many there are
+            tasks = (run["buckets"],) if run["buckets"] > int(self.spark.conf.get("spark.sql.shuffle.partitions")) else ()
+            rows = rows.withColumn("_bucket", bucket(key, run["buckets"])).repartition(*tasks, "_bucket").sortWithinPartitions("_bucket", key)
             by = ("_bucket",)
-        else:
-            rows = rows.hint("rebalance")
         try:
             rows.write.partitionBy(*by).parquet(self.path(table, run))
         finally:

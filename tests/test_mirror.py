@@ -321,3 +321,26 @@ def test_bucketed_snapshots_meet_without_a_shuffle(spark, tmp_path):
     for df, path in zip(swapped, ("s", "t")):
         buckets.write_bucketed(df, f"file://{tmp_path}/{path}", parts=2, buckets=2)
     assert len(buckets.differing_parts(spark, f"file://{tmp_path}/s", f"file://{tmp_path}/t")) == 1
+
+
+def test_roles_meet_where_their_first_rows_lie(spark):
+    """Each extract of roles is shuffled once by its keys, whether for the first rows or for the join."""
+    old, new = (spark.createDataFrame([], schema.ROLES) for _ in range(2))
+    plan = diff.role_changes(old, new, "2024-01-01T00:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(role_key") == 2
+
+
+def test_runs_are_written_as_they_come(spark, tmp_path, monkeypatch):
+    """A batch's run takes no shuffle of its own, and a whole run's rows are sorted once, by bucket and key."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *args, **kw: (plans.append(self._df._jdf.queryExecution().optimizedPlan().toString()), write(self, *args, **kw))[1])
+    monkeypatch.setattr(T, "BUCKET_ROWS", 10)
+    store = Tables(spark, f"file://{tmp_path}/runs")
+    rows = spark.range(100).selectExpr("cast(id AS string) AS org_nr", "id AS v")
+    store.write_run("t", rows)
+    run = store.write_run("t", rows, "org_nr", whole=True)
+    assert "Rebalance" not in plans[0] and "Repartition" not in plans[0]
+    assert run["buckets"] == 11 and "RepartitionByExpression [_bucket#" in plans[1] and ", 11" in plans[1] and plans[1].splitlines()[0].startswith("Sort [_bucket")
+    assert sorted(r.v for r in store.read_run("t", run).collect()) == list(range(100))
