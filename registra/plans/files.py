@@ -397,8 +397,8 @@ def mirror_feeds(spark, sf):
     """Entities, sub-units, roles and annotations from three feeds, bootstrapped and committed together"""
     store, pages = Store(spark, folder(spark, "feeds")), {k: folder(spark, k) for k in ("enheter", "underenheter", "roller")}
     raw, base, even = _entity_events(spark, sf).drop("ts"), A.base(spark, sf), "CAST(organisasjonsnummer AS bigint) % 2 = 0"
-    raw.where(even).write.json(pages["enheter"])
-    raw.where(f"NOT {even}").write.json(pages["underenheter"])
+    raw.where(even).write.option("compression", "gzip").json(pages["enheter"])
+    raw.where(f"NOT {even}").write.option("compression", "gzip").json(pages["underenheter"])
     A.table(spark, sf, "supplier").where("s_suppkey % 2 = 0").select(
         F.col("s_suppkey").alias("id"), F.lit("no.example.rolle.oppdatert").alias("type"), F.lit("2024-01-01T00:00:00.000Z").alias("time"),
         F.struct(F.col("s_suppkey").cast("string").alias("organisasjonsnummer")).alias("data"),

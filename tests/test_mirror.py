@@ -344,3 +344,25 @@ def test_runs_are_written_as_they_come(spark, tmp_path, monkeypatch):
     assert "Rebalance" not in plans[0] and "Repartition" not in plans[0]
     assert run["buckets"] == 11 and "RepartitionByExpression [_bucket#" in plans[1] and ", 11" in plans[1] and plans[1].splitlines()[0].startswith("Sort [_bucket")
     assert sorted(r.v for r in store.read_run("t", run).collect()) == list(range(100))
+
+
+def test_pages_of_feeds_are_compressed(spark, monkeypatch):
+    from pathlib import Path
+
+    from registra.plans import files
+
+    class Stop(Exception):
+        pass
+
+    seen = {}
+
+    def stop(store, pages, *args, **kw):
+        seen.update(pages)
+        raise Stop
+
+    monkeypatch.setattr(files.sync, "sync_feeds", stop)
+    with pytest.raises(Stop):
+        files.mirror_feeds(spark, "/root/testdata/sf0.001")
+    for kind in ("enheter", "underenheter"):
+        names = [p.name for p in Path(seen[kind].removeprefix("file://")).iterdir()]
+        assert any(n.endswith(".json.gz") for n in names) and not any(n.endswith(".json") for n in names)
