@@ -213,8 +213,9 @@ def duplicate_lines(docs: DataFrame, width: int = 8, percent: int = 80) -> DataF
         lambda pairs: _confirmed(pairs, known_of(pairs), width, percent).select("*", F.lit(True).alias("link"), F.lit(None).cast("double").alias("d")),
         lambda rows: _settled(rows, banded, tables[-1], width, percent),
     )
-    classed = lines.join(labels, "id", "left").where("component IS NOT NULL OR times > 1")
-    classed = classed.select(F.coalesce("component", "id").alias("class"), "doc_id", *_key("line"))
+    # a line is hashed where it lies; the join takes its keys, not its text
+    classed = lines.select("id", "doc_id", "times", *_key("line")).join(labels, "id", "left").where("component IS NOT NULL OR times > 1")
+    classed = classed.select(F.coalesce("component", "id").alias("class"), "doc_id", "k1", "k2")
     classed = common.materialize(classed, "classes")
     for used in (lines, *tables):
         common.discard(used)

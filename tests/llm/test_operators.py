@@ -442,6 +442,26 @@ def test_texts_are_shuffled_once(spark, tmp_path):
     assert _shuffled(spark, lambda: substrings.dedup(docs).select("doc_id", "n_words", "n_removed", "spans").collect()) < 2 * size
 
 
+def test_lines_meet_their_classes_by_keys(spark, monkeypatch):
+    """The join of all lines with their components shuffles no line's text."""
+    plans, materialize = {}, common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, label, *by: (plans.setdefault(label, df._jdf.queryExecution().executedPlan()), materialize(df, label, *by))[1])
+    docs = spark.createDataFrame([(1, "one line of words\nand another"), (2, "one line of words")], "doc_id long, text string")
+    assert [r.doc_id for r in lines.duplicate_lines(docs).collect()] == [2]
+    shuffled = plans["classes"].toString()
+    assert "Exchange hashpartitioning(id" in shuffled and not _sent(plans["classes"], "line")
+
+
+def _sent(plan, column: str) -> bool:
+    """Whether an exchange of an initial plan has a column of that name."""
+    nodes = [plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan]
+    for node in nodes:
+        if node.nodeName() == "Exchange" and column in [node.output().apply(i).name() for i in range(node.output().size())]:
+            return True
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return False
+
+
 def test_alike_windows_are_told_at_once(spark, monkeypatch):
     """Passages are hashed one by one only where windows of a key differ, and the first of equal passages stays."""
     r, made = random.Random(13), []
